@@ -48,7 +48,7 @@ def _halves(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 @query("ks_two_sample", oracle=f"""
 WITH {EVENTS} SELECT feature, n_ref, n_cur, round(d, 6) AS d, round(p_value, 6) AS p_value FROM tests""")
 def ks_two_sample(spark: SparkSession, d: str) -> DataFrame:
-    return t.rounded(drift.ks_two_sample(*_halves(spark, d), FEATURES), ["d", "p_value"])
+    return t.rounded(drift.ks_two_sample(*_halves(spark, d), FEATURES), ["d", "p_value"], 6)
 
 
 LINES = f"""sides AS (SELECT *, l_shipdate < TIMESTAMP '1998-06-01' AS is_ref FROM lineitem),
@@ -64,14 +64,14 @@ def _line_halves(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 @query("ks_lineitem", oracle=LINES_SQL)
 def ks_lineitem(spark: SparkSession, d: str) -> DataFrame:
-    return t.rounded(drift.ks_two_sample(*_line_halves(spark, d), LINE_FEATURES), ["d", "p_value"])
+    return t.rounded(drift.ks_two_sample(*_line_halves(spark, d), LINE_FEATURES), ["d", "p_value"], 6)
 
 
 @query("ks_split_features", oracle=LINES_SQL)
 def ks_split_features(spark: SparkSession, d: str) -> DataFrame:
     """The same with every feature sorted in segments of about 1,000 values."""
     tests = drift.ks_two_sample(*_line_halves(spark, d), LINE_FEATURES, hot_rows=1000)
-    return t.rounded(tests, ["d", "p_value"])
+    return t.rounded(tests, ["d", "p_value"], 6)
 
 
 @query("drift_flags", oracle=f"WITH {EVENTS} SELECT feature, p_value < 0.05 AS drifted FROM tests")
@@ -87,4 +87,4 @@ SELECT number_of_drifted_columns / {len(FEATURES)}.0 >= 0.20 AS dataset_drift,
        number_of_drifted_columns FROM n""")
 def drift_report(spark: SparkSession, d: str) -> DataFrame:
     fact, _ = drift.drift_report(*_halves(spark, d), FEATURES)
-    return t.rounded(fact.drop("date_id"), ["share_of_drifted_columns"])
+    return t.rounded(fact.drop("date_id"), ["share_of_drifted_columns"], 6)

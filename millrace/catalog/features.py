@@ -27,27 +27,23 @@ def _rolling_lines_sql(*stats: str) -> str:
     return f"WITH f AS (SELECT {', '.join(LINE_KEYS)}, {features} FROM lineitem) SELECT {', '.join(LINE_KEYS + names)} FROM f"
 
 
-def _round_features(df: DataFrame, sensors: list[str]) -> DataFrame:
-    return t.rounded(df, rolling.feature_names(sensors, t.WINDOWS))
-
-
 @query("rolling_mean", oracle=_rolling_lines_sql("mean"))
 def rolling_mean(spark: SparkSession, d: str) -> DataFrame:
-    return _round_features(
+    return t.rounded_features(
         rolling.rolling_mean(_lines(spark, d), "l_suppkey", t.LINE_ORDER, t.LINE_SENSORS, t.WINDOWS), t.LINE_SENSORS
     )
 
 
 @query("rolling_std", oracle=_rolling_lines_sql("std"))
 def rolling_std(spark: SparkSession, d: str) -> DataFrame:
-    return _round_features(
+    return t.rounded_features(
         rolling.rolling_std(_lines(spark, d), "l_suppkey", t.LINE_ORDER, t.LINE_SENSORS, t.WINDOWS), t.LINE_SENSORS
     )
 
 
 @query("rolling_features", oracle=_rolling_lines_sql("mean", "std"))
 def rolling_features(spark: SparkSession, d: str) -> DataFrame:
-    return _round_features(
+    return t.rounded_features(
         rolling.rolling_features(_lines(spark, d), "l_suppkey", t.LINE_ORDER, t.LINE_SENSORS, t.WINDOWS),
         t.LINE_SENSORS,
     )
@@ -62,7 +58,7 @@ def rolling_features_split_series(spark: SparkSession, d: str) -> DataFrame:
     rows = t.training_rows(spark, d).select("engine_model", "unit_number", "time_in_cycles", "window_start", *M)
     order = ["time_in_cycles", "window_start", "unit_number"]
     wide = rolling.rolling_features(rows, "engine_model", order, M, t.WINDOWS, hot_rows=500)
-    return t.rounded(_round_features(wide, M), M)
+    return t.rounded(t.rounded_features(wide, M), M)
 
 
 @query("feature_rows", oracle=f"""
@@ -73,7 +69,7 @@ def feature_rows(spark: SparkSession, d: str) -> DataFrame:
     """Sparse metrics: frames with gaps and frames without values."""
     rows = t.training_rows(spark, d).select("unit_number", "time_in_cycles", "window_start", "engine_model", *M)
     wide = rolling.rolling_features(rows, "unit_number", ["time_in_cycles", "window_start"], M, t.WINDOWS)
-    return t.rounded(_round_features(wide, M), M)
+    return t.rounded(t.rounded_features(wide, M), M)
 
 
 @query("last_cycle", oracle=f"""
@@ -85,7 +81,7 @@ def last_cycle(spark: SparkSession, d: str) -> DataFrame:
 
 @query("last_values", oracle=f"""
 WITH {t.wide_sql()}
-SELECT sensor_id, {', '.join(f'round(arg_max({m}, w) FILTER (WHERE {m} IS NOT NULL), 6) AS {m}' for m in M)}
+SELECT sensor_id, {', '.join(f'round(arg_max({m}, w) FILTER (WHERE {m} IS NOT NULL), 9) AS {m}' for m in M)}
 FROM wide GROUP BY sensor_id""")
 def last_values(spark: SparkSession, d: str) -> DataFrame:
     last = cleaning.last_values(t.wide(spark, d), "sensor_id", ["time_in_cycles", "window_start"], M)
@@ -131,12 +127,12 @@ def encode_engine_model(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("regression_metrics", oracle="""
-SELECT count(*) AS n, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e)), 6) AS mae
+SELECT count(*) AS n, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae
 FROM (SELECT l_quantity * 1000 - l_extendedprice AS e FROM lineitem)""")
 def regression_metrics(spark: SparkSession, d: str) -> DataFrame:
     lines = t.table(spark, d, "lineitem")
     scaled = lines.select((F.col("l_quantity") * 1000).alias("actual"), F.col("l_extendedprice").alias("guess"))
-    return t.rounded(labels.regression_metrics(scaled, "actual", "guess"), ["rmse", "mae"])
+    return t.rounded(labels.regression_metrics(scaled, "actual", "guess"), ["rmse", "mae"], 4)
 
 
 @query("truth_by_position", oracle="""

@@ -107,7 +107,7 @@ def select_by_prefix(spark: SparkSession, d: str) -> DataFrame:
 @query("window_avg_1m", oracle=f"""
 WITH {t.READINGS_SQL}
 SELECT sensor_id, engine_model, time_in_cycles, metric,
-       CAST(date_trunc('minute', event_timestamp) AS VARCHAR) AS window_start, round(avg(value), 6) AS value
+       CAST(date_trunc('minute', event_timestamp) AS VARCHAR) AS window_start, round(avg(value), 9) AS value
 FROM readings GROUP BY 1, 2, 3, 4, 5""")
 def window_avg_1m(spark: SparkSession, d: str) -> DataFrame:
     means = reshape.window_avg(cleaning.timed(t.readings(spark, d)))
@@ -117,7 +117,7 @@ def window_avg_1m(spark: SparkSession, d: str) -> DataFrame:
 @query("window_avg_1d", oracle=f"""
 WITH {t.READINGS_SQL}
 SELECT sensor_id, metric, CAST(date_trunc('day', event_timestamp) AS VARCHAR) AS window_start,
-       round(avg(value), 6) AS value
+       round(avg(value), 9) AS value
 FROM readings GROUP BY 1, 2, 3""")
 def window_avg_1d(spark: SparkSession, d: str) -> DataFrame:
     means = reshape.window_avg(cleaning.timed(t.readings(spark, d)), "1 day", ["sensor_id", "metric"])
@@ -134,12 +134,12 @@ def pivot_metrics_1h(spark: SparkSession, d: str) -> DataFrame:
 
 @query("baselines", oracle=f"""
 WITH {t.wide_sql()}
-SELECT sensor_id, {', '.join(f'round(avg({m}), 6) AS ref_{m}' for m in M)} FROM wide GROUP BY 1""")
+SELECT sensor_id, {', '.join(f'round(avg({m}), 9) AS ref_{m}' for m in M)} FROM wide GROUP BY 1""")
 def baselines(spark: SparkSession, d: str) -> DataFrame:
     return t.rounded(t.event_baselines(spark, d), [f"ref_{m}" for m in M])
 
 
-IMPUTED = ", ".join(f"round(coalesce(wide.{m}, b.{m}), 6) AS {m}" for m in M)
+IMPUTED = ", ".join(f"round(coalesce(wide.{m}, b.{m}), 9) AS {m}" for m in M)
 BASE = f"b AS (SELECT sensor_id, {', '.join(f'avg({m}) AS {m}' for m in M)} FROM wide GROUP BY 1)"
 
 
@@ -155,7 +155,7 @@ def impute_baseline(spark: SparkSession, d: str) -> DataFrame:
 @query("join_baselines", oracle=f"""
 WITH {t.wide_sql()}, b AS (
   SELECT sensor_id, avg(view) AS ref_view FROM wide WHERE engine_model <> 'Turbofan-GE90' GROUP BY 1)
-SELECT wide.sensor_id, time_in_cycles, round(view, 6) AS view, round(ref_view, 6) AS ref_view
+SELECT wide.sensor_id, time_in_cycles, round(view, 9) AS view, round(ref_view, 9) AS ref_view
 FROM wide LEFT JOIN b ON wide.sensor_id = b.sensor_id""")
 def join_baselines(spark: SparkSession, d: str) -> DataFrame:
     # one model has no baselines, so its units join nothing
@@ -202,7 +202,7 @@ WITH {t.wide_sql()}, rows_of AS (
   SELECT *, 1 AS version FROM rows_of WHERE date < '2024-01-20'
   UNION ALL
   SELECT * REPLACE (view + 100 AS view), 2 AS version FROM rows_of WHERE date >= '2024-01-15')
-SELECT sensor_id, window_start, time_in_cycles, round(view, 6) AS view, date, version FROM both_loads"""
+SELECT sensor_id, window_start, time_in_cycles, round(view, 9) AS view, date, version FROM both_loads"""
 NEWEST_SQL = "QUALIFY row_number() OVER (PARTITION BY sensor_id, window_start ORDER BY version DESC) = 1"
 
 
@@ -226,7 +226,7 @@ def merge_touched(spark: SparkSession, d: str) -> DataFrame:
 WITH {t.READINGS_SQL}, dated AS (SELECT *, CAST(event_timestamp AS DATE) AS day FROM readings)
 SELECT sensor_id, engine_model, time_in_cycles, metric,
        CAST(date_trunc('hour', event_timestamp) AS VARCHAR) AS window_start, strftime(day, '%Y-%m-%d') AS date,
-       round(avg(value), 6) AS value
+       round(avg(value), 9) AS value
 FROM dated WHERE day IN (SELECT day FROM dated WHERE event_timestamp >= TIMESTAMP '2024-01-25 12:00:00')
 GROUP BY 1, 2, 3, 4, 5, 6""")
 def late_data_recompute(spark: SparkSession, d: str) -> DataFrame:
@@ -309,7 +309,7 @@ def quarantine_untimed(spark: SparkSession, d: str) -> DataFrame:
 
 @query("csv_roundtrip", oracle=f"""
 WITH {t.wide_sql()}
-SELECT unit_number, time_in_cycles, {t.rounded_sql(M)}, 1.5 * time_in_cycles AS RUL, engine_model FROM wide""")
+SELECT unit_number, time_in_cycles, {t.rounded_sql(M)}, CAST(1.5 * time_in_cycles AS DOUBLE) AS RUL, engine_model FROM wide""")
 def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "train-csv")
     rows = t.training_rows(spark, d).withColumn("RUL", F.col("time_in_cycles") * F.lit(1.5))

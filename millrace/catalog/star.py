@@ -78,10 +78,10 @@ def dim_status(spark: SparkSession, d: str) -> DataFrame:
 @query("fact_engine_health", oracle=f"""
 WITH {t.scored_sql()}, keyed AS (
   SELECT *, {ENGINE_KEY} AS engine_id, {DATE_KEY} AS date_id, {t.band_sql('predicted_rul')} AS status_id FROM scored)
-SELECT engine_id, date_id, status_id, time_in_cycles, predicted_rul, {t.rounded_sql(FEATURES)},
+SELECT engine_id, date_id, status_id, time_in_cycles, predicted_rul, {t.rounded_sql(M)}, {t.rounded_features_sql(M)},
        {t.key_sql('engine_id', 'date_id', 'time_in_cycles')} AS fact_id FROM keyed""")
 def fact_engine_health(spark: SparkSession, d: str) -> DataFrame:
-    return t.rounded(gold.fact_engine_health(t.scored(spark, d), FEATURES), FEATURES)
+    return t.rounded(t.rounded_features(gold.fact_engine_health(t.scored(spark, d), FEATURES), M), M)
 
 
 @query("fact_from_stored_dimensions", oracle=f"""
@@ -131,7 +131,7 @@ def latest_sensors(spark: SparkSession, d: str) -> DataFrame:
 
 @query("bi_metric_trend", oracle=f"""
 WITH {STAR} SELECT CAST(date_trunc('day', w) AS VARCHAR) AS bucket,
-  {', '.join(f'round(avg({c}), 6) AS {c}' for c in [*M, 'predicted_rul'])} FROM star GROUP BY 1""")
+  {', '.join(f'round(avg({c}), 9) AS {c}' for c in [*M, 'predicted_rul'])} FROM star GROUP BY 1""")
 def metric_trend(spark: SparkSession, d: str) -> DataFrame:
     columns = [*M, "predicted_rul"]
     trend = dashboard.metric_trend(_star(spark, d), columns)
@@ -149,7 +149,7 @@ CORRELATION = " UNION ALL ".join(
 @query("bi_rul_correlation", oracle=f"WITH {STAR} {CORRELATION}")
 def rul_correlation(spark: SparkSession, d: str) -> DataFrame:
     fact = gold.fact_engine_health(_plain(spark, d), M)
-    return t.rounded(dashboard.rul_correlation(fact, M), ["correlation", "slope", "intercept"])
+    return t.rounded(dashboard.rul_correlation(fact, M), ["correlation", "slope", "intercept"], 6)
 
 
 EXPECTED_SIGNS = {"error": -1, "purchase": 1, "view": 1}
@@ -159,7 +159,8 @@ EXPECTED_SIGNS = {"error": -1, "purchase": 1, "view": 1}
 WITH {STAR}, c AS ({CORRELATION}),
 signs AS (SELECT sensor, CAST(sign(correlation) AS INTEGER) AS found_sign,
   CASE sensor WHEN 'error' THEN -1 WHEN 'purchase' THEN 1 WHEN 'view' THEN 1 END AS expected_sign FROM c)
-SELECT sensor, found_sign, expected_sign, found_sign = expected_sign AS as_expected FROM signs""")
+SELECT sensor, found_sign, expected_sign, found_sign = expected_sign AS as_expected FROM signs
+WHERE expected_sign IS NOT NULL""")
 def corr_sign(spark: SparkSession, d: str) -> DataFrame:
     fact = gold.fact_engine_health(_plain(spark, d), M)
     return dashboard.correlation_signs(dashboard.rul_correlation(fact, M), EXPECTED_SIGNS)

@@ -39,7 +39,7 @@ LATE = "INTERVAL 10 MINUTE"
 @query("stream_window_avg", oracle=f"""
 WITH {t.READINGS_SQL}
 SELECT sensor_id, engine_model, time_in_cycles, metric,
-       CAST(date_trunc('minute', event_timestamp) AS VARCHAR) AS window_start, round(avg(value), 6) AS value
+       CAST(date_trunc('minute', event_timestamp) AS VARCHAR) AS window_start, round(avg(value), 9) AS value
 FROM readings
 GROUP BY 1, 2, 3, 4, date_trunc('minute', event_timestamp)
 HAVING date_trunc('minute', event_timestamp) + INTERVAL 1 MINUTE

@@ -68,11 +68,30 @@ def event_baselines(spark: SparkSession, sf_dir: str, window: str = "1 hour") ->
     return B.compute_baselines(training_rows(spark, sf_dir, window), EVENT_METRICS)
 
 
-def rounded(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
+# Two engines add numbers in different orders, so results are compared rounded: far above the
+# noise, and at a digit where means of few two-digit values cannot end in a lone 5.
+DIGITS = 9
+FEATURE_DIGITS = {"mean": 7, "std": 7}
+PRICE_DIGITS = {"mean": 5, "std": 3}  # prices are a thousand times larger
+
+
+def rounded(df: DataFrame, columns: list[str], digits: int = DIGITS) -> DataFrame:
     names = set(columns)
     return df.select(*[F.round(c, digits).alias(c) if c in names else F.col(c) for c in df.columns])
 
 
+def feature_digits(sensor: str, stat: str) -> int:
+    return (PRICE_DIGITS if sensor == "l_extendedprice" else FEATURE_DIGITS)[stat]
+
+
+def rounded_features(df: DataFrame, sensors: list[str]) -> DataFrame:
+    """Rounds whichever rolling features the frame has."""
+    digits = {
+        f"{s}_{stat}_{w}": feature_digits(s, stat) for w in WINDOWS for stat in ("mean", "std") for s in sensors
+    }
+    return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])
+
+
 # --- the same in SQL ------------------------------------------------------------------------
 
 MODEL_SQL = (
@@ -99,7 +118,7 @@ wide AS (
   FROM readings GROUP BY 1, 2, 3, 4, 5)"""
 
 
-def rolling_sql(sensors: list[str], unit: str, order: str, digits: int | None = 6) -> str:
+def rolling_sql(sensors: list[str], unit: str, order: str, round_them: bool = True) -> str:
     """Select-list of the rolling features."""
     parts = []
     for n in WINDOWS:
@@ -109,8 +128,8 @@ def rolling_sql(sensors: list[str], unit: str, order: str, digits: int | None =
                 value = f"{stat.format(s)} {frame}"
                 if name == "std":
                     value = f"coalesce({value}, 0)"
-                if digits is not None:
-                    value = f"round({value}, {digits})"
+                if round_them:
+                    value = f"round({value}, {feature_digits(s, name)})"
                 parts.append(f"{value} AS {s}_{name}_{n}")
     return ", ".join(parts)
 
@@ -121,7 +140,7 @@ def scored_sql() -> str:
 scored AS (
   SELECT sensor_id, engine_model, time_in_cycles, unit_number, CAST(w AS VARCHAR) AS window_start, w,
          {', '.join(EVENT_METRICS)},
-         {rolling_sql(EVENT_METRICS, 'unit_number', 'time_in_cycles, w', None)},
+         {rolling_sql(EVENT_METRICS, 'unit_number', 'time_in_cycles, w', False)},
          CAST(max(time_in_cycles) OVER (PARTITION BY unit_number) - time_in_cycles AS DOUBLE) AS predicted_rul
   FROM wide)"""
 
@@ -135,5 +154,12 @@ def band_sql(rul: str) -> str:
     return f"CASE WHEN {rul} <= 15 THEN 1 WHEN {rul} <= 45 THEN 2 WHEN {rul} IS NOT NULL THEN 3 END"
 
 
-def rounded_sql(columns: list[str], digits: int = 6) -> str:
+def rounded_sql(columns: list[str], digits: int = DIGITS) -> str:
     return ", ".join(f"round({c}, {digits}) AS {c}" for c in columns)
+
+
+def rounded_features_sql(sensors: list[str]) -> str:
+    return ", ".join(
+        f"round({s}_{stat}_{w}, {feature_digits(s, stat)}) AS {s}_{stat}_{w}"
+        for w in WINDOWS for stat in ("mean", "std") for s in sensors
+    )

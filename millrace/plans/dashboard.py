@@ -93,15 +93,17 @@ def rul_correlation(fact: DataFrame, sensors: Sequence[str], rul: str = "predict
 
 
 def correlation_signs(correlations: DataFrame, expected: dict[str, int]) -> DataFrame:
-    """Compares each sensor's correlation sign with the one its family should have."""
+    """For the sensors with an expected correlation sign: the sign found, and whether they agree.
+    A constant sensor has no correlation and so no sign."""
     want = F.lit(None).cast("int")
     for sensor, sign in expected.items():
         want = F.when(F.col("sensor") == sensor, F.lit(sign)).otherwise(want)
-    return correlations.select(
-        "sensor",
-        F.signum("correlation").cast("int").alias("found_sign"),
-        want.alias("expected_sign"),
-        (F.signum("correlation").cast("int") == want).alias("as_expected"),
+    return (
+        correlations.withColumn("expected_sign", want)
+        .filter("expected_sign IS NOT NULL")
+        .withColumn("found_sign", F.signum("correlation").try_cast("int"))
+        .select("sensor", "found_sign", "expected_sign",
+                (F.col("found_sign") == F.col("expected_sign")).alias("as_expected"))
     )
 
 

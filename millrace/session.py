@@ -19,8 +19,9 @@ def build_session(app_name: str = "millrace", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        # readings about dates far in the past or future stay readable
-        .config("spark.sql.parquet.datetimeRebaseModeInWrite", "CORRECTED")
+        # the JIT compiler skips methods above 8000 bytes; wide feature rows then run faster as
+        # split projections than as one generated loop
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)
