@@ -17,14 +17,17 @@ DATE_KEY = "CAST(strftime(w, '%Y%m%d%H%M') AS BIGINT)"
 
 
 def _plain(spark: SparkSession, d: str) -> DataFrame:
-    """Scored rows without the rolling features, for what does not show them."""
-    return t.labelled(spark, d).withColumn("predicted_rul", F.col("RUL").cast("double"))
+    """Scored rows without the rolling features, for what does not show them. Kept once, as the
+    pipeline does, since dimensions and fact both read them."""
+    rows = t.labelled(spark, d).withColumn("predicted_rul", F.col("RUL").cast("double"))
+    return rows.checkpoint()
 
 
 def _star(spark: SparkSession, d: str) -> DataFrame:
     rows = _plain(spark, d)
     fact = gold.fact_engine_health(rows, M)
-    return dashboard.star_join(fact, gold.dim_engine(rows), gold.dim_date(rows), gold.dim_status(spark))
+    engines, dates = gold.dim_engine(rows).checkpoint(), gold.dim_date(rows).checkpoint()
+    return dashboard.star_join(fact, engines, dates, gold.dim_status(spark))
 
 
 STAR = f"""{t.wide_sql()}, scored AS (

@@ -58,9 +58,13 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.withColumn("_rank", F.row_number().over(ranking)).filter("_rank = 1").drop("_rank")
 
 
-def dedupe_readings(readings: DataFrame, order: Sequence[str] = ("event_time",)) -> DataFrame:
-    """Replayed readings counted once, so they cannot bias the window averages."""
-    return newest_per_key(readings, READING_KEY, order)
+def dedupe_readings(readings: DataFrame) -> DataFrame:
+    """Replayed readings counted once, so they cannot bias the window averages.
+
+    Every column but the value is the key, so copies meet in a hash aggregation, without a sort
+    and already within each task. Copies that disagree on the value count once, with the largest.
+    """
+    return readings.groupBy(*[c for c in readings.columns if c != "value"]).agg(F.max("value").alias("value"))
 
 
 def last_row(df: DataFrame, unit: str, order: Sequence[str]) -> DataFrame:

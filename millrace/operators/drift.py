@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace import config
 from millrace.functions import columns as C
-from millrace.operators.reshape import unpivot_numeric
+from millrace.operators.reshape import unpivot_readings
 from millrace.operators.sizing import SEGMENT, segment_edges, with_segment
 
 
@@ -20,57 +20,76 @@ def ks_two_sample(
 
     Null and NaN values are left out, and so is a feature without values on one side. Both sides
     are first counted per distinct value, which also tames a value that fills most rows. The two
-    distribution functions are running sums over the sorted values; a feature with more than
-    ``hot_rows`` values is sorted in consecutive segments, each starting from the totals of the
-    segments before.
+    distribution functions are running sums over the sorted values; when a feature has more than
+    ``hot_rows`` values, it is sorted in consecutive segments, each starting from the totals of
+    the segments before.
     """
-    long = (
-        _values(reference, features, 1, 0)
-        .unionByName(_values(current, features, 0, 1))
+    n_ref, n_cur = _sizes(reference, features), _sizes(current, features)
+    tested = [f for f in features if n_ref.get(f) and n_cur.get(f)]
+    sizes = reference.sparkSession.createDataFrame(
+        [(f, n_ref[f], n_cur[f]) for f in tested], "feature string, n_ref bigint, n_cur bigint"
     )
-    edges = segment_edges(long, "feature", ["value"], hot_rows)
+    long = _values(reference, tested, 1, 0).unionByName(_values(current, tested, 0, 1))
     counts = long.groupBy("feature", "value").agg(F.sum("in_ref").alias("c_ref"), F.sum("in_cur").alias("c_cur"))
-    placed = with_segment(counts, "feature", ["value"], edges)
-
-    within = Window.partitionBy("feature", SEGMENT).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    running = placed.select(
-        "feature", SEGMENT,
-        F.sum("c_ref").over(within).alias("below_ref"),
-        F.sum("c_cur").over(within).alias("below_cur"),
-    )
-    sums = placed.groupBy("feature", SEGMENT).agg(F.sum("c_ref").alias("s_ref"), F.sum("c_cur").alias("s_cur"))
-    # one row per segment from here on
-    earlier = Window.partitionBy("feature").orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("feature")
-    offsets = sums.select(
-        "feature", SEGMENT,
-        F.coalesce(F.sum("s_ref").over(earlier), F.lit(0)).alias("o_ref"),
-        F.coalesce(F.sum("s_cur").over(earlier), F.lit(0)).alias("o_cur"),
-        F.sum("s_ref").over(whole).alias("n_ref"),
-        F.sum("s_cur").over(whole).alias("n_cur"),
-    ).filter("n_ref > 0 AND n_cur > 0")
-    gap = F.abs(
-        (F.col("below_ref") + F.col("o_ref")) / F.col("n_ref")
-        - (F.col("below_cur") + F.col("o_cur")) / F.col("n_cur")
+    longest = max((n_ref[f] + n_cur[f] for f in tested), default=0)
+    edges = segment_edges(long, "feature", ["value"], hot_rows) if longest > hot_rows else None
+    below = _below(counts, ["feature"], "value") if edges is None else _below_by_segment(
+        with_segment(counts, "feature", ["value"], edges)
     )
+    gap = F.abs(F.col("below_ref") / F.col("n_ref") - F.col("below_cur") / F.col("n_cur"))
     return (
-        running.join(offsets, ["feature", SEGMENT])
-        .groupBy("feature")
-        .agg(F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"), F.max(gap).alias("d"))
+        below.join(F.broadcast(sizes), "feature")  # one row per configured feature
+        .groupBy("feature", "n_ref", "n_cur")
+        .agg(F.max(gap).alias("d"))
         .withColumn("p_value", C.ks_p_value("d", "n_ref", "n_cur"))
     )
 
 
-def _values(df: DataFrame, features: Sequence[str], in_ref: int, in_cur: int) -> DataFrame:
+def _sizes(df: DataFrame, features: Sequence[str]) -> dict[str, int]:
+    """Usable values per feature: one row, from a scan of the columns as they lie."""
     present = [f for f in features if f in df.columns]
+    if not present:
+        return {}
+    number = {f: F.col(f).try_cast("double") for f in present}
+    usable = [F.count_if(number[f].isNotNull() & ~F.isnan(number[f])).alias(f) for f in present]
+    return df.agg(*usable).first().asDict()
+
+
+def _values(df: DataFrame, features: Sequence[str], in_ref: int, in_cur: int) -> DataFrame:
     return (
-        unpivot_numeric(df.select(*present), [], present)
+        unpivot_readings(df, [], features)
         .filter(~F.isnan("value"))
         .select(F.col("metric").alias("feature"), "value",
                 F.lit(in_ref).alias("in_ref"), F.lit(in_cur).alias("in_cur"))
     )
 
 
+def _below(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """How many values of each side lie at or below each distinct value."""
+    up_to = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return counts.select(
+        *keys, F.sum("c_ref").over(up_to).alias("below_ref"), F.sum("c_cur").over(up_to).alias("below_cur")
+    )
+
+
+def _below_by_segment(placed: DataFrame) -> DataFrame:
+    """The same with each segment sorted on its own and raised by the segments before it."""
+    sums = placed.groupBy("feature", SEGMENT).agg(F.sum("c_ref").alias("s_ref"), F.sum("c_cur").alias("s_cur"))
+    # one row per segment
+    before = Window.partitionBy("feature").orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        "feature", SEGMENT,
+        F.coalesce(F.sum("s_ref").over(before), F.lit(0)).alias("o_ref"),
+        F.coalesce(F.sum("s_cur").over(before), F.lit(0)).alias("o_cur"),
+    )
+    within = _below(placed, ["feature", SEGMENT], "value")
+    return within.join(offsets, ["feature", SEGMENT]).select(
+        "feature",
+        (F.col("below_ref") + F.col("o_ref")).alias("below_ref"),
+        (F.col("below_cur") + F.col("o_cur")).alias("below_cur"),
+    )
+
+
 def drift_flags(tests: DataFrame, p_value: float = config.DRIFT_P_VALUE) -> DataFrame:
     return tests.withColumn("drifted", F.col("p_value") < p_value)
 

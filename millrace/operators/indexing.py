@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.sizing import small_side
+from millrace.operators.sizing import small_result
 from millrace.session import shared_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row within its partition in these bits
@@ -29,7 +29,7 @@ def number_in_place(df: DataFrame, column: str = "row_index") -> DataFrame:
     in_part = F.col("_id").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     return (
         local.withColumn("_part", part)
-        .join(small_side(offsets), "_part")
+        .join(small_result(offsets), "_part")
         .withColumn(column, in_part + F.col("_before"))
         .drop("_part", "_id", "_before")
     )

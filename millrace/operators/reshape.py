@@ -13,15 +13,10 @@ from millrace.functions import columns as C
 
 def unpivot_readings(wide: DataFrame, ids: Sequence[str], metrics: Sequence[str]) -> DataFrame:
     """One row per metric of each wide row; values that are not numbers give no row."""
-    as_text = wide.select(*ids, *[F.col(m).cast("string").alias(m) for m in metrics])
-    long = as_text.unpivot(list(ids), list(metrics), "metric", "value")
-    return long.withColumn("value", F.col("value").try_cast("double")).filter("value IS NOT NULL")
-
-
-def unpivot_numeric(wide: DataFrame, ids: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """The same for columns that are numbers already: no text in between."""
-    typed = wide.select(*ids, *[F.col(m).cast("double").alias(m) for m in metrics])
-    return typed.unpivot(list(ids), list(metrics), "metric", "value").filter("value IS NOT NULL")
+    if not metrics:
+        return wide.select(*ids, F.lit("").alias("metric"), F.lit(0.0).alias("value")).limit(0)
+    numbers = wide.select(*ids, *[F.col(m).try_cast("double").alias(m) for m in metrics])
+    return numbers.unpivot(list(ids), list(metrics), "metric", "value").filter("value IS NOT NULL")
 
 
 def window_avg(

@@ -20,13 +20,21 @@ def small_side(df: DataFrame, max_rows: int = config.BROADCAST_ROWS) -> DataFram
     """``df`` marked for broadcast when it holds at most ``max_rows`` rows, else unchanged.
 
     Unchanged means a shuffled join, where adaptive execution splits skewed partitions. The
-    count stops at ``max_rows + 1`` rows and reads no columns of a stored table.
+    count stops at ``max_rows + 1`` rows and reads no columns of a stored table; see
+    ``small_result`` for anything else.
     """
     if df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
 
 
+def small_result(df: DataFrame, max_rows: int = config.BROADCAST_ROWS) -> DataFrame:
+    """``small_side`` for a side that has to be computed: checkpointed, so that counting and
+    joining do not compute it twice."""
+    shared_dir(df.sparkSession)
+    return small_side(df.checkpoint(), max_rows)
+
+
 def segment_edges(
     df: DataFrame, key: str, order: Sequence[str], max_rows: int = config.HOT_ROWS
 ) -> DataFrame | None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace import config
 from millrace.operators import baselines as B
 from millrace.operators import cleaning, reshape
-from millrace.operators.sizing import small_side
+from millrace.operators.sizing import small_result
 from millrace.sinks.tables import upsert
 from millrace.sources.files import READING_SCHEMA, read_table
 
@@ -55,5 +55,5 @@ def touched_days(arrivals: DataFrame, history: DataFrame) -> DataFrame:
     """All readings of the days that ``arrivals`` has readings for, so that a late reading gets
     its whole window averaged again. Days are at most as many as the calendar has, and the
     broadcast of them prunes the ``date`` partitions of ``history``."""
-    days = small_side(arrivals.select("date").filter(F.col("date").isNotNull()).distinct())
+    days = small_result(arrivals.select("date").filter(F.col("date").isNotNull()).distinct())
     return history.join(days, "date", "left_semi")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.cleaning import newest_per_key
-from millrace.operators.sizing import small_side
+from millrace.operators.sizing import small_result
 from millrace.session import scratch_path
 from millrace.sources.files import read_table
 
@@ -50,7 +50,7 @@ def merge(existing: DataFrame | None, changes: DataFrame, keys: Sequence[str], o
     """
     if existing is None:
         return newest_per_key(changes, keys, order)
-    touched = small_side(changes.select(partition).distinct())
+    touched = small_result(changes.select(partition).distinct())
     current = existing.join(touched, partition, "left_semi").select(*changes.columns)
     return newest_per_key(current.unionByName(changes), keys, order)
 
@@ -87,18 +87,19 @@ def compact(spark: SparkSession, path: str, partition: str = "date", target_byte
     wanted = files.groupBy(partition).agg(
         F.greatest(F.lit(1), F.ceil(F.sum("b") / target_bytes)).cast("int").alias("_files")
     )
+    wanted = small_result(wanted)
+    total = wanted.agg(F.sum("_files")).first()[0] or 1
     staged = scratch_path(spark, "compact")
-    overwrite(table, staged)
-    total = int(wanted.agg(F.coalesce(F.sum("_files"), F.lit(1))).first()[0])
     # a row's slot is its hash modulo its partition's number of files
-    slotted = (
-        spark.read.parquet(staged)
-        .join(small_side(wanted), partition)
+    (
+        table.join(wanted, partition)
         .withColumn("_slot", F.pmod(F.xxhash64(*table.columns), F.col("_files")))
         .drop("_files")
+        .write.parquet(staged)
     )
     (
-        slotted.repartition(max(total, 1), partition, "_slot")
+        spark.read.parquet(staged)
+        .repartition(total, partition, "_slot")
         .drop("_slot")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
