@@ -85,13 +85,15 @@ def stream_features(readings: DataFrame, metrics: list[str], window: str = MINUT
     ).agg(*[F.avg(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in metrics])
 
 
-def write_landing_files(readings: DataFrame, path: str) -> None:
+def write_landing_files(readings: DataFrame, path: str, files: int | None = None) -> None:
     """JSON-lines files in replay order: files sorted by cycle, for feeding a stream."""
-    replay_order(readings).write.mode("append").json(path)
+    replay_order(readings, files).write.mode("append").json(path)
 
 
-def replay_order(readings: DataFrame) -> DataFrame:
-    """Cycle by cycle across all units. Range partitions follow the cycle and, within one cycle,
-    the sensor, so a cycle with much of the data still spreads over tasks."""
+def replay_order(readings: DataFrame, files: int | None = None) -> DataFrame:
+    """Cycle by cycle across all units, in ``files`` parts or as many as Spark sees fit. Range
+    partitions follow the cycle and, within one cycle, the sensor, so a cycle with much of the
+    data still spreads over tasks."""
     keys = ["time_in_cycles", "sensor_id", "metric", "event_time"]
-    return readings.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    parts = readings.repartitionByRange(files, *keys) if files else readings.repartitionByRange(*keys)
+    return parts.sortWithinPartitions(*keys)
