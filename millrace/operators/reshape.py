@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace import config
@@ -15,7 +15,14 @@ def unpivot_readings(wide: DataFrame, ids: Sequence[str], metrics: Sequence[str]
     """One row per metric of each wide row; values that are not numbers give no row."""
     if not metrics:
         return wide.select(*ids, F.lit("").alias("metric"), F.lit(0.0).alias("value")).limit(0)
-    numbers = wide.select(*ids, *[F.col(m).try_cast("double").alias(m) for m in metrics])
+    texts = {f.name for f in wide.schema if f.dataType.simpleString() == "string"}
+
+    def number(m: str) -> Column:
+        parsed = F.col(m).try_cast("double")
+        # a failed parse costs an exception, so text that cannot be a number is not parsed
+        return F.when(F.col(m).rlike("[0-9]|(?i)nan|inf"), parsed) if m in texts else parsed
+
+    numbers = wide.select(*ids, *[number(m).alias(m) for m in metrics])
     return numbers.unpivot(list(ids), list(metrics), "metric", "value").filter("value IS NOT NULL")
 
 
