@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,13 +34,14 @@ def build_session(app_name: str = "millrace", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session may fall back to a temporary folder; on a cluster a missing setting is
-    an error, because files written to one machine would be lost to the others.
+    Only a session whose driver does all the work (``local``, ``local[n]``) may fall back to a temporary
+    folder; on a cluster, also a simulated one, a missing setting is an error, because files written to one
+    machine would be lost to the others.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured is None:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="millrace-")
     if sc.getCheckpointDir() is None:
