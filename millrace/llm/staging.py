@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from typing import Any
+
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.session import scratch_path
@@ -17,3 +20,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shipped(spark: SparkSession, value: Any) -> Broadcast:
+    """``value`` for the tasks, together with the code of its class; of a size that the caller has bounded."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def opened(sent: Broadcast) -> Any:
+    """What ``shipped`` sent, unpickled once in each worker."""
+    if not hasattr(sent, "_opened"):
+        sent._opened = cloudpickle.loads(sent.value)
+    return sent._opened
