@@ -1,22 +1,50 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again by the next."""
+"""The corpus pipeline: stages over documents, each written as Parquet and read again by the next.
+
+Every stage but the last returns the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import simhash
+from millrace.llm import curriculum, decontaminate, simhash, training_order, weak_labels
 from millrace.llm.staging import stored, table
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier keeps."""
+    return weak_labels.classified(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
     return simhash.keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return decontaminate.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, in training order."""
+    return curriculum.training_order(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shards of token sequences; one row a sequence."""
+    return training_order.materialised(docs)
+
+
 STAGES = [
+    ("quality_classifier", quality_classifier),
     ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("token_output", token_output),
 ]
 
-#: SQL has no XXH64 and no trained scorer, so the rows are tested against brute force
+#: SQL has no XXH64, no trained scorer and no tokenizer, so the stages are tested against brute force
 ORACLE_SQL = None
 
 
