@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import curriculum, decontaminate, divergence, licenses, separators, simhash, substring, training_order, warc, weak_labels
+from millrace.llm import curriculum, decontaminate, divergence, licenses, oracles, separators, simhash, substring, training_order, warc, weak_labels
 from millrace.llm.staging import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return weak_labels.classified(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
+ORACLES["op6_licenses"] = oracles.license_sql()
+ORACLES["op8_divergence"] = oracles.divergence_sql()
