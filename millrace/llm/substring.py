@@ -16,9 +16,9 @@ from millrace.llm.words import NOT_SPACE, gram_hashes, mixed, sliding_min, span_
 WINDOW = 20
 GRAM = 3  # words in a minimiser
 RUN = 256  # windows that travel as one string at most
-BUCKET_BYTES = 4 << 20  # of packed strings, on average
+BUCKET_BYTES = 2 << 20  # of packed strings, on average
 HOT = 8  # times BUCKET_BYTES from which a bucket is split
-FLUSH_BYTES = 8 << 20  # of text whose strings a task holds at once
+FLUSH_BYTES = 4 << 20  # of text whose strings a task holds at once
 NULL_ID = (1 << 63) - 1  # null ids come last
 
 RUNS = "bucket long, docs binary, marks binary, starts binary, packed binary"
