@@ -8,31 +8,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import curriculum, decontaminate, simhash, training_order, weak_labels
-from millrace.llm.staging import stored, table
+from millrace.llm.staging import small_batches, stored, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier keeps."""
+    small_batches(spark)
     return weak_labels.classified(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
+    small_batches(spark)
     return decontaminate.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in training order."""
+    small_batches(spark)
     return curriculum.training_order(docs)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shards of token sequences; one row a sequence."""
+    small_batches(spark)
     return training_order.materialised(docs)
 
 
