@@ -19,6 +19,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 BATCH_ROWS = 1000
+MAX_TASKS = 10_000
+
+
+def spread(work: DataFrame, *columns: str, pieces: int) -> DataFrame:
+    """Rows that each stand for much work, dealt by ``columns`` to a task for each of their ``pieces``.
+
+    The rows themselves are few and small, so without a given number adaptive execution would put all in one task.
+    """
+    return work.repartition(max(1, min(pieces, MAX_TASKS)), *columns)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.files import Blocks, attempt_name, filesystem
-from millrace.llm.staging import stored
+from millrace.llm.staging import spread, stored
 from millrace.session import scratch_path
 
 MIN_REVISIT_BYTES = 100
@@ -265,7 +265,8 @@ def read_archives(files: DataFrame) -> DataFrame:
         if rows:
             yield frame(rows)
 
-    return files.where("path is not null").select("path").repartition("path").mapInPandas(run, RECORD)
+    files = files.where("path is not null").select("path")
+    return spread(files, "path", pieces=files.count()).mapInPandas(run, RECORD)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
