@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.files import Blocks, attempt_name, filesystem
-from millrace.llm.staging import opened, stored
+from millrace.llm.staging import opened, spread, stored
 from millrace.llm.tokens import VOCABULARY, shared_tokenizer
 from millrace.llm.words import mixed
 from millrace.session import scratch_path
@@ -166,7 +166,9 @@ def read_shards(index: DataFrame, first_slot: int = 0, length: int = LENGTH, wid
         if file is not None:
             file.close()
 
-    return index.where(F.col("slot") >= first_slot).repartition("shard").sortWithinPartitions("slot").mapInPandas(
+    chosen = index.where(F.col("slot") >= first_slot)
+    shards = chosen.agg(F.max("shard") - F.min("shard") + 1).first()[0] or 1
+    return spread(chosen, "shard", pieces=shards).sortWithinPartitions("slot").mapInPandas(
         run, "slot long, shard long, start long, n_tokens int, sequence long, ids binary")
 
 
