@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.files import Blocks, attempt_name, filesystem
-from millrace.llm.staging import opened, stored
+from millrace.llm.staging import opened, spread, stored
 from millrace.llm.tokens import VOCABULARY, shared_tokenizer
 from millrace.session import scratch_path
 
@@ -89,7 +89,7 @@ def count_documents(files: DataFrame, end: int, dtype: str = "<u2", block_tokens
         files.select("path").where("path is not null").distinct().mapInPandas(sizes, "path string, n long").where("n > 0")
         .select("path", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(block_tokens).cast("long"))).alias("begin"))
     )
-    found = stored(blocks.repartition("path", "begin").mapInPandas(search, "path string, begin long, n long, ends array<long>, last long"), "flat-blocks")
+    found = stored(spread(blocks, "path", "begin", pieces=blocks.count()).mapInPandas(search, "path string, begin long, n long, ends array<long>, last long"), "flat-blocks")
     order = Window.partitionBy("path").orderBy("begin")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     scan = found.select("path", "begin", "n", F.size("ends").alias("k"), "last").select(
