@@ -15,60 +15,37 @@ from millrace.llm.staging import shipped
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: fixed value of the vocabulary: how it divides a text before merging bytes
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHED_PIECES = 400_000
 PIECE_CHARS = 1 << 19
-
-
-class _Pieces(dict):
-    """Ids of the pieces met so far; emptied when it is full, so its memory is bounded."""
-
-    def __init__(self, encode, dtype: str):
-        super().__init__()
-        self.encode, self.dtype = encode, dtype
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.encode(piece), dtype=self.dtype).tobytes()
-        if len(self) >= CACHED_PIECES:
-            self.clear()
-        if len(piece) <= 64:
-            self[piece] = ids
-        return ids
+#: a space between letters: no piece of the pattern lies across
+CUT = regex.compile(r"(?<=\p{L}) (?=\p{L})")
 
 
 class Tokenizer:
-    """A rank file's vocabulary; it is opened once in each worker and remembers the pieces it has met.
-
-    The first id that the vocabulary leaves free marks the end of a document.
-    """
+    """A rank file's vocabulary, opened once in each worker. The first id it leaves free marks the end of a document."""
 
     def __init__(self, ranks: bytes, pattern: str = PATTERN):
         self.ranks, self.pattern = ranks, pattern
-        table = [line.split() for line in ranks.splitlines() if line]
-        self.end = max(int(b) for _, b in table) + 1
+        self.end = max(int(line.split()[1]) for line in ranks.splitlines() if line) + 1
         self.dtype = "<u2" if self.end < 1 << 16 else "<u4"
         self.width = np.dtype(self.dtype).itemsize
-        self._pieces = None
+        self._library = None
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "_pieces": None}
+        return {**self.__dict__, "_library": None}
 
-    def _open(self) -> None:
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, self.ranks.splitlines())}
-        self._pieces = _Pieces(tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary, self.dtype)
+    def ids(self, text: str) -> list[int]:
+        if self._library is None:
+            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, self.ranks.splitlines())}
+            self._library = tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=table, special_tokens={})
+        return self._library.encode_ordinary(text)
 
     def encode(self, text: str | None) -> bytes:
-        """Ids of one text as little-endian integers; none for a null or empty text.
-
-        A long text is divided between a letter and a space before a letter, where no piece can lie across.
-        """
-        if self._pieces is None:
-            self._open()
-        pieces, out, at = self._pieces, [], 0
-        text = text or ""
+        """Ids of one text as little-endian integers; none for a null or empty text. A long text goes in parts."""
+        text, out, at = text or "", [], 0
         while at < len(text):
-            cut = regex.compile(r"(?<=\p{L}) (?=\p{L})").search(text, at + PIECE_CHARS) if len(text) - at > PIECE_CHARS else None
+            cut = CUT.search(text, at + PIECE_CHARS) if len(text) - at > PIECE_CHARS else None
             stop = cut.start() if cut else len(text)
-            out.append(b"".join(map(pieces.__getitem__, regex.findall(self.pattern, text[at:stop]))))
+            out.append(np.array(self.ids(text[at:stop]), dtype=self.dtype).tobytes())
             at = stop
         return b"".join(out)
 

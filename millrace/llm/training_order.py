@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.files import Blocks, attempt_name, filesystem
@@ -23,7 +22,10 @@ SHARD_SEQUENCES = 8192
 KEY = 20240501
 ROUNDS = 6
 
-INDEX = "slot long, shard long, path string, start long, n_tokens int, sequence long"
+ID_BYTES = 3  # of text for an id, about; only decides the number of shards
+PER_PARTITION = 1 << 32  # sequence numbers kept free for each input partition
+
+WRITTEN = "place long, shard long, path string, start long, n_tokens int, sequence long"
 
 
 def _rounds(key: int) -> list[np.uint64]:
@@ -58,97 +60,85 @@ def permuted(values: np.ndarray, n: int, key: int = KEY, inverse: bool = False)
 
 def write_shards(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, length: int = LENGTH, shard_sequences: int = SHARD_SEQUENCES,
                  key: int = KEY) -> DataFrame:
-    """Tokenises ``docs`` (text) and writes shards of fixed-stride sequences in training order; returns their ``INDEX``.
-
-    Each input partition's documents, each followed by the end id, are one stream that is cut into sequences of
-    ``length`` ids; the last is filled up with end ids, and n_tokens counts those before. Sequences are numbered
-    through all partitions, and the permutation of all numbers gives each its global slot. Shard s holds the slots from
-    s * shard_sequences on, slot by slot, so any slot's bytes follow from its number alone.
-
-    ``docs`` must be a stored table: it is read twice, first for the partitions' token counts (one row a
-    partition comes to the driver), then for the ids, instead of keeping a second copy of them; a partition that is not
-    the same the second time fails the job. Ids are shuffled once, by shard. Order in a partition is the order of
-    reading. Null and empty texts are documents of no ids; columns other than text are ignored; an empty table
-    gives no shards.
+    """Tokenises ``docs`` (text) once and writes shards of fixed-stride sequences in training order; returns their
+    index (slot, shard, path, start, n_tokens, sequence).
+
+    The documents of each input partition, each followed by the end id, are one stream that is cut into sequences of
+    ``length`` ids; the last is filled up with end ids, and n_tokens counts those before. Every partition has a
+    range of sequence numbers of its own, so nothing has to be counted first. The permutation of all
+    numbers gives each sequence its place; a shard takes a fixed range of places, in order, and the slot is the
+    number of sequences at lower places: the shards before it plus the place's rank in its shard. So slots are
+    dense, any slot's bytes follow from its shard's first slot and the stride, and a shard's size varies only by chance.
+
+    The order in a partition is the order of reading, so equal runs need a stored table read in the same partitions.
+    Ids are shuffled once, by shard. Null and empty texts are documents of no ids; columns other than text
+    are ignored; an empty table gives no shards.
     """
     tokenizer, sent = shared_tokenizer(docs.sparkSession, vocabulary)
-    end, width, dtype = tokenizer.end, tokenizer.width, tokenizer.dtype
-    stop = np.array([end], dtype=dtype).tobytes()
-    texts = docs.select("text")
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, check, encode = 0, 0, opened(sent).encode
-        for batch in batches:
-            for text in batch["text"]:
-                data = encode(text) + stop
-                tokens += len(data) // width
-                check = zlib.crc32(data, check)
-        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "tokens": [tokens], "crc": [check]})
-
-    counted = {r.part: (r.tokens, r.crc) for r in texts.mapInPandas(count, "part int, tokens long, crc long").collect()}
-    base, total = {}, 0
-    for part in sorted(counted):
-        base[part] = total
-        total += -(-counted[part][0] // length)
+    width = tokenizer.width
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    bounds = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
+    shards = max(1, (bounds[0] // ID_BYTES + bounds[1]) // (length * shard_sequences))
+    total = texts.rdd.getNumPartitions() * PER_PARTITION
+    breadth = -(-total // shards)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, encode = TaskContext.get().partitionId(), opened(sent).encode
-        number, tokens, check, held, stride = base.get(part, 0), 0, 0, b"", length * width
+        tokenizer, stride, held = opened(sent), length * width, b""
+        stop = np.array([tokenizer.end], dtype=tokenizer.dtype).tobytes()
+        number = TaskContext.get().partitionId() * PER_PARTITION
 
         def rows(data: bytes, used: int) -> pd.DataFrame:
             nonlocal number
             n = len(data) // stride
             sequences = np.arange(number, number + n)
             number += n
-            slots = permuted(sequences, total, key)
-            return pd.DataFrame({"slot": slots, "shard": slots // shard_sequences, "sequence": sequences,
+            places = permuted(sequences, total, key)
+            return pd.DataFrame({"place": places, "shard": places // breadth, "sequence": sequences,
                                  "n_tokens": np.minimum(length, used - length * np.arange(n)).astype(np.int32),
                                  "ids": [data[i * stride: (i + 1) * stride] for i in range(n)]})
 
         for batch in batches:
-            pieces = [held]
-            for text in batch["text"]:
-                data = encode(text) + stop
-                pieces.append(data)
-                tokens += len(data) // width
-                check = zlib.crc32(data, check)
-            held = b"".join(pieces)
+            held = b"".join([held, *(tokenizer.encode(text) + stop for text in batch["text"])])
             whole = len(held) // stride * stride
             yield rows(held[:whole], whole // width)
             held = held[whole:]
-        if counted.get(part, (0, 0)) != (tokens, check):
-            raise RuntimeError(f"partition {part} changed between the passes; store the table first")
         if held:
             yield rows(held + stop * ((stride - len(held)) // width), len(held) // width)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stream, shard, path = None, None, None
-        for batch in batches:  # sorted by slot
+        stream, shard, path, size = None, None, None, 0
+        for batch in batches:  # sorted by place
             paths, starts = [], []
-            for s, slot, ids in zip(batch["shard"], batch["slot"], batch["ids"]):
+            for s, ids in zip(batch["shard"], batch["ids"]):
                 if s != shard:
                     if stream is not None:
                         stream.close()
-                    shard, path = s, f"{folder}/{attempt_name(f'shard-{s:08d}', '.bin')}"
+                    shard, path, size = s, f"{folder}/{attempt_name(f'shard-{s:08d}', '.bin')}", 0
                     system, place = filesystem(path)
                     stream = system.open_output_stream(place, compression=None)
                 stream.write(ids)
                 paths.append(path)
-                starts.append((slot - s * shard_sequences) * length * width)
-            yield pd.DataFrame({"slot": batch["slot"], "shard": batch["shard"], "path": pd.Series(paths, dtype=object), "start": np.array(starts, dtype=np.int64),
-                                "n_tokens": batch["n_tokens"], "sequence": batch["sequence"]})
+                starts.append(size)
+                size += len(ids)
+            yield pd.DataFrame({"place": batch["place"], "shard": batch["shard"], "path": pd.Series(paths, dtype=object),
+                                "start": np.array(starts, dtype=np.int64), "n_tokens": batch["n_tokens"], "sequence": batch["sequence"]})
         if stream is not None:
             stream.close()
 
     system, place = filesystem(folder)
     system.create_dir(place, recursive=True)
-    rows = texts.mapInPandas(cut, "slot long, shard long, sequence long, n_tokens int, ids binary")
-    out = rows.repartition("shard").sortWithinPartitions("slot").mapInPandas(write, INDEX)
-    return stored(out, "training-index")
+    rows = texts.mapInPandas(cut, "place long, shard long, sequence long, n_tokens int, ids binary")
+    out = rows.repartition("shard").sortWithinPartitions("place").mapInPandas(write, WRITTEN)
+    index = stored(out, "training-index")
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row for each shard
+    first = index.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).select(
+        "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    slot = (F.col("first") + F.col("start") / (length * width)).cast("long")
+    return index.join(first, "shard").select(slot.alias("slot"), "shard", "path", "start", "n_tokens", "sequence")
 
 
 def read_shards(index: DataFrame, first_slot: int = 0, length: int = LENGTH, width: int = 2) -> DataFrame:
-    """The sequences from ``first_slot`` on: INDEX columns without path, and ids (binary), read shard by shard in order.
+    """The sequences from ``first_slot`` on: the index without path, and ids (binary), read shard by shard in order.
 
     A job that stopped resumes by the slot it had reached. Every shard is read sequentially in one task.
     """

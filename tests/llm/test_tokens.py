@@ -15,8 +15,7 @@ SCHEMA = "doc_id long, text string, path string, slot long, tokens string"
 
 def reference():
     tokenizer = tokens.Tokenizer(open(tokens.VOCABULARY, "rb").read())
-    tokenizer._open()
-    return tokenizer, tokenizer._pieces.encode
+    return tokenizer, tokenizer.ids
 
 
 def rows():
@@ -29,7 +28,10 @@ def rows():
 def test_encoding_equals_the_library(monkeypatch):
     monkeypatch.setattr(tokens, "PIECE_CHARS", 100)
     tokenizer, encode = reference()
-    for _, text, *_ in rows():
+    rng = random.Random(7)
+    spaced = ["".join(rng.choice(["a", "É", "7", ".", "'s", " ", "\n", "\t", "\u00a0", "\u3000", "\x1c", "\x85", "²", "語"][: 14 if i % 3 else 8]) for _ in range(rng.randrange(0, 60)))
+              for i in range(3000)]
+    for text in [r[1] for r in rows()] + spaced:
         assert np.frombuffer(tokenizer.encode(text), dtype=tokenizer.dtype).tolist() == encode(text or "")
 
 
@@ -52,8 +54,13 @@ def test_shards_hold_every_token_at_its_slot(spark):
     index = training_order.write_shards(docs, scratch_path(spark, "shards"), length=64, shard_sequences=50)
     found = training_order.read_shards(index, length=64).orderBy("slot").collect()
     n = len(found)
-    assert [r.slot for r in found] == list(range(n)) and all(r.shard == r.slot // 50 and r.start == r.slot % 50 * 128 for r in found)
-    assert training_order.permuted(np.array([r.sequence for r in found]), n).tolist() == list(range(n))
+    assert [r.slot for r in found] == list(range(n)) and len({r.shard for r in found}) > 3
+    first = {}
+    for r in found:
+        assert r.start == (r.slot - first.setdefault(r.shard, r.slot)) * 128
+    total = docs.rdd.getNumPartitions() * training_order.PER_PARTITION
+    places = training_order.permuted(np.array([r.sequence for r in found]), total).tolist()
+    assert places == sorted(places)
     streams = {}
     for r in docs.select(F.spark_partition_id().alias("p"), "text").collect():
         streams.setdefault(r.p, []).extend([*encode(r.text or ""), tokenizer.end])
@@ -61,9 +68,9 @@ def test_shards_hold_every_token_at_its_slot(spark):
     for p in sorted(streams):
         for i in range(0, len(streams[p]), 64):
             piece = streams[p][i:i + 64]
-            want.append((len(piece), piece + [tokenizer.end] * (64 - len(piece))))
+            want.append((p * training_order.PER_PARTITION + i // 64, len(piece), piece + [tokenizer.end] * (64 - len(piece))))
     by_number = sorted(found, key=lambda r: r.sequence)
-    assert [(r.n_tokens, np.frombuffer(r.ids, dtype="<u2").tolist()) for r in by_number] == want
+    assert [(r.sequence, r.n_tokens, np.frombuffer(r.ids, dtype="<u2").tolist()) for r in by_number] == want
     later = training_order.read_shards(index, first_slot=n - 7, length=64).collect()
     assert sorted(r.slot for r in later) == list(range(n - 7, n))
 
