@@ -17,6 +17,14 @@ def valid_readings(readings: DataFrame) -> DataFrame:
     return readings.filter("sensor_id IS NOT NULL AND sensor_id <> ''")
 
 
+def rejected_readings(readings: DataFrame) -> DataFrame:
+    """The readings that the flows leave out, with ``reason``: no sensor, or no readable time."""
+    no_sensor = F.col("sensor_id").isNull() | (F.col("sensor_id") == "")
+    no_time = C.event_timestamp("event_time").isNull()
+    reason = F.when(no_sensor, "no sensor").when(no_time, "no readable time")
+    return readings.withColumn("reason", reason).filter("reason IS NOT NULL")
+
+
 def stamped(df: DataFrame, column: str = "processed_at") -> DataFrame:
     """Adds the processing time."""
     return df.withColumn(column, F.current_timestamp())
@@ -58,13 +66,17 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.withColumn("_rank", F.row_number().over(ranking)).filter("_rank = 1").drop("_rank")
 
 
-def dedupe_readings(readings: DataFrame) -> DataFrame:
-    """Replayed readings counted once, so they cannot bias the window averages.
+def dedupe_readings(readings: DataFrame, key: Sequence[str] = READING_KEY, newest: str = "processed_at") -> DataFrame:
+    """One reading per ``key``, so that replays cannot bias the window averages: the one with the latest
+    ``newest`` (if the readings carry it), of equal ones that with the larger value, then the larger other columns.
 
-    Every column but the value is the key, so copies meet in a hash aggregation, without a sort
-    and already within each task. Copies that disagree on the value count once, with the largest.
+    Copies meet in an aggregation that combines within each task before the shuffle.
     """
-    return readings.groupBy(*[c for c in readings.columns if c != "value"]).agg(F.max("value").alias("value"))
+    rest = [c for c in readings.columns if c not in key]
+    first = [c for c in (newest, "value") if c in rest]
+    rank = F.struct(*first, *[c for c in rest if c not in first])
+    best = readings.groupBy(*key).agg(F.max(rank).alias("_best"))
+    return best.select(*[F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in readings.columns])
 
 
 def last_row(df: DataFrame, unit: str, order: Sequence[str]) -> DataFrame:

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from millrace import config
 from millrace.operators import baselines as B
 from millrace.operators import cleaning, reshape
-from millrace.operators.sizing import small_result
-from millrace.sinks.tables import upsert
+from millrace.sinks.tables import in_partitions, overwrite, partition_values, upsert
 from millrace.sources.files import READING_SCHEMA, read_table
 
 SILVER_KEY = ("sensor_id", "window_start")
@@ -40,20 +39,31 @@ def run_silver(
     metrics: Sequence[str] = config.METRICS,
     window: str = "1 minute",
     dates: tuple[str, str] | None = None,
+    since: str | None = None,
+    quarantine_path: str | None = None,
 ) -> bool:
-    """Upserts Silver from Bronze, all of it or the given days. False while there is no Bronze."""
+    """Upserts Silver from Bronze: all of it, the given days, or the days touched by what was processed after
+    ``since``. False while there is no Bronze.
+
+    Readings without a sensor or a readable time are no Silver rows; with ``quarantine_path`` those of this
+    run are written there, with the reason, in place of the last run's.
+    """
     bronze = read_table(spark, bronze_path, dates)
     if bronze is None:
         return False
+    if since is not None:
+        bronze = touched_days(bronze.filter(F.col("processed_at") > F.lit(since).cast("timestamp")), bronze)
     baselines = read_table(spark, baselines_path) if baselines_path else None
-    silver = silver_features(bronze.select(*READING_SCHEMA.names), baselines, metrics, window)
+    known = [c for c in (*READING_SCHEMA.names, "processed_at") if c in bronze.columns]
+    if quarantine_path is not None:
+        overwrite(cleaning.rejected_readings(bronze.select(*known)), quarantine_path)
+    silver = silver_features(bronze.select(*known), baselines, metrics, window)
     upsert(cleaning.stamped(silver, "silver_processed_at"), silver_path, SILVER_KEY, SILVER_ORDER)
     return True
 
 
 def touched_days(arrivals: DataFrame, history: DataFrame) -> DataFrame:
     """All readings of the days that ``arrivals`` has readings for, so that a late reading gets
-    its whole window averaged again. Days are at most as many as the calendar has, and the
-    broadcast of them prunes the ``date`` partitions of ``history``."""
-    days = small_result(arrivals.select("date").filter(F.col("date").isNotNull()).distinct())
-    return history.join(days, "date", "left_semi")
+    its whole window averaged again; arrivals without a day bring back all readings without one. Days are at
+    most as many as the calendar has and go into the filter as literals, which prunes the ``date`` partitions."""
+    return in_partitions(history, "date", partition_values(arrivals, "date"))

@@ -49,6 +49,16 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def remove_scratch(spark: SparkSession, *paths: str) -> None:
+    """Removes folders that ``scratch_path`` named; anything outside the shared folder is refused."""
+    base = shared_dir(spark)
+    for path in paths:
+        if not path.startswith(f"{base}/"):
+            raise ValueError(f"{path} is not in the shared folder")
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -1,4 +1,4 @@
-"""Table writes: partitioned layout, keyed upsert, compaction, JDBC."""
+"""Table writes: partitioned layout, keyed upsert, JDBC."""
 
 from __future__ import annotations
 
@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.cleaning import newest_per_key
-from millrace.operators.sizing import small_result
-from millrace.session import scratch_path
+from millrace.session import remove_scratch, scratch_path
 from millrace.sources.files import read_table
 
 
@@ -41,17 +40,34 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+MAX_TOUCHED = 100_000  # partitions of one upsert: days are bounded by the calendar
+
+
+def partition_values(df: DataFrame, partition: str) -> list:
+    """The distinct values of ``partition`` in ``df``, null among them if it occurs."""
+    rows = df.select(partition).distinct().limit(MAX_TOUCHED + 1).collect()
+    if len(rows) > MAX_TOUCHED:
+        raise ValueError(f"{partition} has more than {MAX_TOUCHED} values; partition by something bounded, such as days")
+    return [r[0] for r in rows]
+
+
+def in_partitions(df: DataFrame, partition: str, values: Sequence) -> DataFrame:
+    """Rows of the given partitions. The values are literals, so the scan reads no other partition."""
+    chosen = F.col(partition).isin([v for v in values if v is not None])
+    return df.filter(chosen | F.col(partition).isNull() if None in values else chosen)
+
+
 def merge(existing: DataFrame | None, changes: DataFrame, keys: Sequence[str], order: Sequence[str],
           partition: str = "date") -> DataFrame:
     """New content of the partitions that ``changes`` touches: per key the newest row of both.
 
-    Only touched partitions of ``existing`` are read (the distinct partition values prune its
-    scan). ``order`` goes first by the precombine column, then by whatever settles its ties.
+    Only touched partitions of ``existing`` are read, the null partition like any other.
+    ``order`` goes first by the precombine column, then by whatever settles its ties.
     """
     if existing is None:
         return newest_per_key(changes, keys, order)
-    touched = small_result(changes.select(partition).distinct())
-    current = existing.join(touched, partition, "left_semi").select(*changes.columns)
+    touched = partition_values(changes, partition)
+    current = in_partitions(existing, partition, touched).select(*changes.columns)
     return newest_per_key(current.unionByName(changes), keys, order)
 
 
@@ -61,51 +77,15 @@ def upsert(changes: DataFrame, path: str, keys: Sequence[str], order: Sequence[s
 
     The changes are computed once, into a staged table, and so are the merged rows. The
     replacement then reads those files and never the partitions it overwrites, so a lost executor
-    cannot leave it without input. One writer at a time; readers see each partition replaced at
-    commit.
+    cannot leave it without input; both staged copies are removed after the replacement. One
+    writer at a time; readers see each partition replaced at commit.
     """
     spark = changes.sparkSession
     incoming, staged = scratch_path(spark, "changes"), scratch_path(spark, "merged")
     overwrite(changes, incoming)
     overwrite(merge(read_table(spark, path), spark.read.parquet(incoming), keys, order, partition), staged)
     replace_partitions(spark.read.parquet(staged), path, partition)
-
-
-def compact(spark: SparkSession, path: str, partition: str = "date", target_bytes: int = 128 << 20) -> None:
-    """Rewrites each partition into files of about ``target_bytes``; the rows stay the same.
-
-    The file sizes come from the files' own metadata, read by Spark. A partition is spread over
-    as many tasks as it needs files, however much of the table it holds.
-    """
-    table = read_table(spark, path)
-    if table is None:
-        return
-    # distinct files with their lengths, then one row per partition value
-    files = table.select(
-        partition, F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")
-    ).distinct()
-    wanted = files.groupBy(partition).agg(
-        F.greatest(F.lit(1), F.ceil(F.sum("b") / target_bytes)).cast("int").alias("_files")
-    )
-    wanted = small_result(wanted)
-    total = wanted.agg(F.sum("_files")).first()[0] or 1
-    staged = scratch_path(spark, "compact")
-    # a row's slot is its hash modulo its partition's number of files
-    (
-        table.join(wanted, partition)
-        .withColumn("_slot", F.pmod(F.xxhash64(*table.columns), F.col("_files")))
-        .drop("_files")
-        .write.parquet(staged)
-    )
-    (
-        spark.read.parquet(staged)
-        .repartition(total, partition, "_slot")
-        .drop("_slot")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    remove_scratch(spark, incoming, staged)
 
 
 def jdbc_options(table: str, order_by: str) -> dict[str, str]:
@@ -122,5 +102,6 @@ def write_jdbc(df: DataFrame, url: str, table: str, order_by: str | None, proper
 
 
 def write_star_table(df: DataFrame, path: str, order_by: str) -> None:
-    """Parquet form of the refresh: files sorted by the clustering column, for row-group pruning."""
-    df.sortWithinPartitions(order_by).write.mode("overwrite").parquet(path)
+    """Parquet form of the refresh: every file holds a range of the clustering column, in order, so that files
+    and row groups prune."""
+    df.repartitionByRange(order_by).sortWithinPartitions(order_by).write.mode("overwrite").parquet(path)

@@ -55,14 +55,24 @@ def read_readings(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     return parse_payloads(spark.read.text(path))
 
 
+def _read_csv(spark: SparkSession, path: str, sep: str, schema: T.StructType) -> DataFrame:
+    """Columns by the names in the header, whatever their order; others are ignored and a missing one is an error.
+    A value that is no number becomes null."""
+    lines = spark.read.csv(path, sep=sep, header=True)
+    missing = [name for name in schema.names if name not in lines.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return lines.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+
+
 def read_training_csv(spark: SparkSession, path: str, metrics: Sequence[str] = config.METRICS,
                       sep: str = ";") -> DataFrame:
-    return spark.read.csv(path, sep=sep, header=True, schema=training_schema(metrics))
+    return _read_csv(spark, path, sep, training_schema(metrics))
 
 
 def read_test_csv(spark: SparkSession, path: str, metrics: Sequence[str] = config.METRICS,
                   sep: str = ",") -> DataFrame:
-    return spark.read.csv(path, sep=sep, header=True, schema=training_schema(metrics, rul=False))
+    return _read_csv(spark, path, sep, training_schema(metrics, rul=False))
 
 
 def read_truth(spark: SparkSession, path: str) -> DataFrame:

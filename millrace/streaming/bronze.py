@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import cleaning
 from millrace.sinks.tables import replace_partitions
-from millrace.sources.files import READING_SCHEMA, parse_payloads
+from millrace.sources.files import CORRUPT, READING_SCHEMA, parse_payloads
 
 MINUTE = "1 minute"
 
@@ -24,9 +24,10 @@ def stream_readings(
     """JSON-lines files as they land, at most ``max_files`` per micro-batch.
 
     With ``archive`` a file is moved there once its batch is committed, so landed files do not
-    pile up and none is removed unread.
+    pile up and none is removed unread. A line that is no JSON has its text in ``CORRUPT`` and nothing else.
     """
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.readStream.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).option("maxFilesPerTrigger", max_files)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.json(path)
@@ -40,21 +41,29 @@ def stream_payloads(spark: SparkSession, path: str, max_files: int = 100) -> tup
 
 def to_bronze(readings: DataFrame) -> DataFrame:
     """Valid readings with processing time and day."""
-    return cleaning.dated(cleaning.stamped(cleaning.valid_readings(readings)))
+    return cleaning.dated(cleaning.stamped(cleaning.valid_readings(readings).drop(CORRUPT)))
 
 
 def start_bronze(
-    stream: DataFrame, out: str, checkpoint: str, tag: str = "main", trigger: dict | None = None
+    stream: DataFrame, out: str, checkpoint: str, tag: str = "main", trigger: dict | None = None,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """Appends micro-batches to ``out``, partitioned by day and batch.
 
     A batch writes the partitions ``batch_id=<tag>-<n>`` and replaces them when it is replayed
     after a failure, so each reading lands once. Use a new ``tag`` with a new checkpoint: batch
     numbers start again there. Readings without a readable time go to the null-day partition.
+
+    ``stream`` is what ``stream_readings`` gives. Lines that are no JSON and readings without a sensor go to
+    ``quarantine``, in the same way; without that folder they are left out.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        replace_partitions(batch.withColumn("batch_id", F.lit(f"{tag}-{batch_id}")), out, "date", ["batch_id"])
+        numbered = batch.withColumn("batch_id", F.lit(f"{tag}-{batch_id}"))
+        replace_partitions(to_bronze(numbered), out, "date", ["batch_id"])
+        if quarantine is not None:
+            rejects = numbered.filter("sensor_id IS NULL OR sensor_id = ''")
+            replace_partitions(cleaning.stamped(rejects), quarantine, "batch_id")
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -83,17 +92,3 @@ def stream_features(readings: DataFrame, metrics: list[str], window: str = MINUT
     return unique.groupBy(
         "sensor_id", "engine_model", "time_in_cycles", F.window("event_timestamp", window).alias("time_window")
     ).agg(*[F.avg(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in metrics])
-
-
-def write_landing_files(readings: DataFrame, path: str, files: int | None = None) -> None:
-    """JSON-lines files in replay order: files sorted by cycle, for feeding a stream."""
-    replay_order(readings, files).write.mode("append").json(path)
-
-
-def replay_order(readings: DataFrame, files: int | None = None) -> DataFrame:
-    """Cycle by cycle across all units, in ``files`` parts or as many as Spark sees fit. Range
-    partitions follow the cycle and, within one cycle, the sensor, so a cycle with much of the
-    data still spreads over tasks."""
-    keys = ["time_in_cycles", "sensor_id", "metric", "event_time"]
-    parts = readings.repartitionByRange(files, *keys) if files else readings.repartitionByRange(*keys)
-    return parts.sortWithinPartitions(*keys)
