@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 # --- fixed values: the names and thresholds below are part of the data contract ------------
 
-OPERATING_SETTINGS = ("altitude_vol", "vitesse_mach", "angle_manette_gaz")
-
-SENSORS = (
+METRICS = (
+    "altitude_vol",
+    "vitesse_mach",
+    "angle_manette_gaz",
     "temp_entree_ventilateur",
     "temp_sortie_compresseur_BP",
     "temp_sortie_compresseur_HP",
@@ -32,8 +33,6 @@ SENSORS = (
     "debit_refroidissement_turbine_BP",
 )
 
-METRICS = OPERATING_SETTINGS + SENSORS
-
 ENGINE_MODELS = (
     "Turbofan-CFM56",
     "Turbofan-GE90",
@@ -69,8 +68,6 @@ DRIFT_RUN_NAME = "concept_drift_monitoring"
 
 # A series (or feature) with more rows than this is split over several tasks.
 HOT_ROWS = 4_000_000
-# A join side is broadcast only when it was counted and holds at most this many rows.
-BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
 from millrace.operators.reshape import columns_with_prefix
-from millrace.operators.sizing import small_side
 
 REF = "ref_"
 
@@ -21,8 +20,8 @@ def compute_baselines(train: DataFrame, metrics: Sequence[str], unit: str = "uni
 
 
 def join_baselines(df: DataFrame, baselines: DataFrame) -> DataFrame:
-    """Left join on the sensor. Baselines grow with the fleet, so their size is checked first."""
-    return df.join(small_side(baselines), "sensor_id", "left")
+    """Left join on the sensor. Baselines grow with the fleet, so adaptive execution picks the join by bytes."""
+    return df.join(baselines, "sensor_id", "left")
 
 
 def impute(silver: DataFrame, baselines: DataFrame | None, metrics: Sequence[str]) -> DataFrame:

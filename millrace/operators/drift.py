@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace import config
 from millrace.functions import columns as C
 from millrace.operators.reshape import unpivot_readings
-from millrace.operators.sizing import SEGMENT, segment_edges, with_segment
+from millrace.operators.sizing import CUT, SEGMENT, segment_edges, with_segment
 
 
 def ks_two_sample(
@@ -34,7 +34,7 @@ def ks_two_sample(
     longest = max((n_ref[f] + n_cur[f] for f in tested), default=0)
     edges = segment_edges(long, "feature", ["value"], hot_rows) if longest > hot_rows else None
     below = _below(counts, ["feature"], "value") if edges is None else _below_by_segment(
-        with_segment(counts, "feature", ["value"], edges)
+        with_segment(counts, "feature", ["value"], edges).drop(CUT)
     )
     gap = F.abs(F.col("below_ref") / F.col("n_ref") - F.col("below_cur") / F.col("n_cur"))
     return (
@@ -115,6 +115,6 @@ def drift_report(
     flags = drift_flags(ks_two_sample(reference, current, features, hot_rows))
     fact = drift_summary(flags, len(features)).select(
         C.date_key(F.current_timestamp()).alias("date_id"),
-        "dataset_drift", "share_of_drifted_columns", "number_of_drifted_columns",
+        "dataset_drift", "share_of_drifted_columns", "number_of_drifted_columns", "n_tested",
     )
     return fact, flags

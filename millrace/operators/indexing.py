@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.sizing import small_result
 from millrace.session import shared_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row within its partition in these bits
@@ -29,7 +28,7 @@ def number_in_place(df: DataFrame, column: str = "row_index") -> DataFrame:
     in_part = F.col("_id").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     return (
         local.withColumn("_part", part)
-        .join(small_result(offsets), "_part")
+        .join(offsets, "_part")
         .withColumn(column, in_part + F.col("_before"))
         .drop("_part", "_id", "_before")
     )
@@ -41,5 +40,5 @@ def number_rows(df: DataFrame, order: Sequence[str], column: str = "row_index")
 
 
 def join_by_position(units: DataFrame, truth: DataFrame, unit: str = "unit_number") -> DataFrame:
-    """The i-th unit by number meets the truth value with ``row_index`` i."""
-    return number_rows(units, [unit]).join(truth, "row_index").drop("row_index")
+    """The i-th unit by number meets the truth value with ``row_index`` i; units beyond the truth have null."""
+    return number_rows(units, [unit]).join(truth, "row_index", "left").drop("row_index")

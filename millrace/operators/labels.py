@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from millrace import config
 from millrace.functions import columns as C
-from millrace.operators.sizing import small_result
 
 
 def with_rul(df: DataFrame, unit: str = "unit_number", cycle: str = "time_in_cycles") -> DataFrame:
-    """Adds ``RUL``: cycles left until the unit's last recorded one."""
-    last = df.groupBy(unit).agg(F.max(cycle).alias("_last"))
-    return df.join(small_result(last), unit).withColumn("RUL", F.col("_last") - F.col(cycle)).drop("_last")
+    """Adds ``RUL``: cycles left until the unit's last recorded one. Rows without a unit are one unit."""
+    last = df.groupBy(F.col(unit).alias("_unit")).agg(F.max(cycle).alias("_last"))
+    joined = df.join(last, df[unit].eqNullSafe(last["_unit"]))
+    return joined.withColumn("RUL", F.col("_last") - F.col(cycle)).drop("_last", "_unit")
 
 
 def cap_rul(df: DataFrame, cap: float = config.RUL_CAP, column: str = "RUL") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Size checks: which side of a join may be broadcast, and which series must be split."""
+"""Size checks: which series must be split, and where."""
 
 from __future__ import annotations
 
@@ -12,27 +12,7 @@ from millrace.session import shared_dir
 
 SEGMENT = "_segment"
 _SAMPLES_PER_SEGMENT = 32
-# halving steps of the search in an edge list: enough for 2^20 segments of one series
-_STEPS = [1 << b for b in range(19, -1, -1)]
-
-
-def small_side(df: DataFrame, max_rows: int = config.BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast when it holds at most ``max_rows`` rows, else unchanged.
-
-    Unchanged means a shuffled join, where adaptive execution splits skewed partitions. The
-    count stops at ``max_rows + 1`` rows and reads no columns of a stored table; see
-    ``small_result`` for anything else.
-    """
-    if df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def small_result(df: DataFrame, max_rows: int = config.BROADCAST_ROWS) -> DataFrame:
-    """``small_side`` for a side that has to be computed: checkpointed, so that counting and
-    joining do not compute it twice."""
-    shared_dir(df.sparkSession)
-    return small_side(df.checkpoint(), max_rows)
+CUT = "_cut"  # whether the row's series has edges
 
 
 def segment_edges(
@@ -44,13 +24,13 @@ def segment_edges(
     key column. Otherwise each hot key gets the quantiles of a hash sample of its order tuples,
     at most about 32 per segment, so the list is bounded by the row count over ``max_rows``.
     The sample is a function of the values, thus the same on every recomputation; a tuple with
-    many copies is one sample.
+    many copies is one sample. The null key is a key like any other.
     """
     shared_dir(df.sparkSession)
     hot = (
         df.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .filter((F.col("_n") > max_rows) & F.col(key).isNotNull())
+        .filter(F.col("_n") > max_rows)
         .select(key, "_n", F.ceil(F.col("_n") / max_rows).cast("int").alias("_k"))
         .withColumn("_step", F.greatest(F.lit(1), F.expr(f"_n div (_k * {_SAMPLES_PER_SEGMENT})")))
         .checkpoint()
@@ -58,9 +38,10 @@ def segment_edges(
     if hot.isEmpty():
         return None
     position = F.struct(*[F.col(c) for c in order])
+    rows = df.select(key, *order)
+    hot = hot.withColumnRenamed(key, "_hot")
     sampled = (
-        df.select(key, *order)
-        .join(small_side(hot), key)
+        rows.join(hot, rows[key].eqNullSafe(hot["_hot"]))
         .filter(F.pmod(F.xxhash64(key, *order), F.col("_step")) == 0)
         .select(key, "_k", position.alias("_at"))
         .distinct()
@@ -77,17 +58,22 @@ def segment_edges(
 
 
 def with_segment(df: DataFrame, key: str, order: Sequence[str], edges: DataFrame | None) -> DataFrame:
-    """Adds ``_segment``: how many edges of the row's key lie at or below its order tuple.
+    """Adds ``_segment``, how many edges of the row's key lie at or below its order tuple, and ``_cut``,
+    whether the key has edges at all.
 
     Segments of a key follow each other in the order, and rows with equal tuples share one.
     """
     if edges is None:
-        return df.withColumn(SEGMENT, F.lit(0))
+        return df.withColumns({SEGMENT: F.lit(0), CUT: F.lit(False)})
     at = F.struct(*[F.col(c) for c in order])
+    longest = edges.agg(F.max(F.size("_edges"))).first()[0] or 1
+    steps = [1 << b for b in range(longest.bit_length() - 1, -1, -1)]  # halving search in the longest list
 
     def search(below: Column, step: Column) -> Column:
         return F.when(F.get(F.col("_edges"), below + step - 1) <= at, below + step).otherwise(below)
 
-    found = F.aggregate(F.array(*[F.lit(s) for s in _STEPS]), F.lit(0), search)
-    # a key without edges has null ones, every comparison fails and the result is 0
-    return df.join(small_side(edges), key, "left").withColumn(SEGMENT, found).drop("_edges")
+    found = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), search)
+    named = edges.withColumnRenamed(key, "_key")
+    joined = df.join(named, df[key].eqNullSafe(named["_key"]), "left").drop("_key")
+    cut = F.col("_edges").isNotNull()
+    return joined.withColumns({SEGMENT: F.when(cut, found).otherwise(0), CUT: cut}).drop("_edges")

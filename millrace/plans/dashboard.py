@@ -8,15 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.cleaning import last_row
-from millrace.operators.sizing import small_side
 
 
 def star_join(fact: DataFrame, engines: DataFrame, dates: DataFrame, statuses: DataFrame) -> DataFrame:
-    """Facts with their dimension attributes. ``dim_status`` has three rows; the others are counted."""
+    """Facts with their dimension attributes. ``dim_status`` has three rows; a fact without a band (its prediction
+    is missing) keeps its row with a null status."""
     return (
-        fact.join(small_side(engines), "engine_id")
-        .join(small_side(dates), "date_id")
-        .join(F.broadcast(statuses), "status_id")
+        fact.join(engines, "engine_id")
+        .join(dates, "date_id")
+        .join(F.broadcast(statuses), "status_id", "left")
     )
 
 
