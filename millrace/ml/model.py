@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import config
@@ -35,27 +35,39 @@ def feature_rows(
     order: Sequence[str] = ("time_in_cycles",),
     windows: Sequence[int] = config.ROLLING_WINDOWS,
     hot_rows: int = config.HOT_ROWS,
+    series: str = "unit_number",
 ) -> DataFrame:
-    """Model rows, the same for training and for scoring."""
-    return rolling_features(wide, "unit_number", order, metrics, windows, hot_rows)
+    """Model rows, the same for training and for scoring. ``series`` tells the units apart: the sensor where
+    there is one, as a sensor that is not called ``unit_<n>`` has no number."""
+    return rolling_features(wide, series, order, metrics, windows, hot_rows)
 
 
 def feature_schema(metrics: Sequence[str], df: DataFrame) -> T.StructType:
     return df.select(*feature_columns(metrics)).schema
 
 
+def fitted_fill(rows: DataFrame, metrics: Sequence[str]) -> dict[str, float]:
+    """What stands in for a missing value: the column's mean over the training rows, 0 for a column without values."""
+    columns = [*metrics, *feature_names(metrics)]
+    means = rows.agg(*[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in columns]).first()
+    return {c: means[c] or 0.0 for c in columns}
+
+
 def build_pipeline(metrics: Sequence[str], label: str = "RUL",
-                   params: config.BoostingParams = config.BoostingParams()) -> Pipeline:
-    """Fitted category codes, assembled features, boosted trees with squared error.
+                   params: config.BoostingParams = config.BoostingParams(), fill: dict[str, float] | None = None) -> Pipeline:
+    """Fitted category codes, gaps filled with ``fill``, assembled features, boosted trees with squared error.
 
     Trees read a checkpoint of their row predictions every ten rounds, so a lost executor costs
     ten rounds and not all of them.
     """
-    numeric = [c for c in feature_columns(metrics) if c != "engine_model"]
+    filled = {c: 0.0 for c in [*metrics, *feature_names(metrics)]} | (fill or {})
+    values = ", ".join(f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), {v!r}D) AS `_in_{c}`" for c, v in filled.items())
+    numeric = [f"_in_{c}" if c in filled else c for c in feature_columns(metrics) if c != "engine_model"]
     return Pipeline(
         stages=[
             StringIndexer(inputCol="engine_model", outputCol=MODEL_CODE, handleInvalid="keep",
                           stringOrderType="alphabetAsc"),
+            SQLTransformer(statement=f"SELECT *, {values} FROM __THIS__"),
             VectorAssembler(inputCols=[*numeric, MODEL_CODE], outputCol="features", handleInvalid="keep"),
             GBTRegressor(
                 featuresCol="features", labelCol=label, predictionCol=PREDICTION,
@@ -78,10 +90,10 @@ def train(
     shared_dir(rows.sparkSession)
     prepared = labels.with_split(labels.cap_rul(rows), keys, seed=params.seed)
     # boosting passes over the rows once per tree level
-    prepared = prepared.fillna(0.0, subset=[*feature_names(metrics), *metrics]).checkpoint()
+    prepared = prepared.checkpoint()
     training = prepared.filter("is_train").drop("is_train")
     held_out = prepared.filter("NOT is_train").drop("is_train")
-    model = build_pipeline(metrics, params=params).fit(training)
+    model = build_pipeline(metrics, params=params, fill=fitted_fill(training, metrics)).fit(training)
     return model, labels.regression_metrics(model.transform(held_out), "RUL", PREDICTION), training
 
 
@@ -90,21 +102,7 @@ def score(model: PipelineModel, rows: DataFrame, metrics: Sequence[str],
     """Adds ``predicted_rul`` to every row; with ``expected`` the feature schema is checked first."""
     if expected is not None:
         check_schema(rows.select(*feature_columns(metrics)).schema, expected)
-    filled = rows.fillna(0.0, subset=[*feature_names(metrics), *metrics])
-    return model.transform(filled).select(*rows.columns, PREDICTION)
-
-
-def score_in_batches(
-    rows: DataFrame, predict: Callable[[pd.DataFrame], Sequence[float]], features: Sequence[str]
-) -> DataFrame:
-    """Scores with any other model: ``predict`` gets Arrow batches of the feature columns."""
-    schema = T.StructType([*rows.schema.fields, T.StructField(PREDICTION, T.DoubleType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(**{PREDICTION: predict(batch[list(features)])})
-
-    return rows.mapInPandas(run, schema)
+    return model.transform(rows).select(*rows.columns, PREDICTION)
 
 
 def evaluate_last_cycles(
@@ -119,11 +117,6 @@ def evaluate_last_cycles(
     return labels.regression_metrics(joined, "rul", PREDICTION), joined
 
 
-def importances(model: PipelineModel) -> dict[str, float]:
-    assembler, trees = model.stages[1], model.stages[2]
-    return dict(zip(assembler.getInputCols(), map(float, trees.featureImportances.toArray())))
-
-
 def export_reference(training: DataFrame, path: str, metrics: Sequence[str]) -> None:
     """The training rows' features, which later drift tests compare with."""
     training.select(*feature_columns(metrics)).write.mode("overwrite").parquet(path)
@@ -131,8 +124,3 @@ def export_reference(training: DataFrame, path: str, metrics: Sequence[str]) ->
 
 def with_unit_number(silver: DataFrame) -> DataFrame:
     return silver.withColumn("unit_number", unit_number_of("sensor_id"))
-
-
-def integer_inputs(rows: DataFrame) -> DataFrame:
-    """The whole-number inputs, for models that were fitted on integers."""
-    return labels.whole_numbers(rows)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace import config
@@ -14,13 +14,13 @@ from millrace.ml import model as M
 from millrace.ml.runs import load_latest_model
 from millrace.operators import labels
 from millrace.operators.rolling import feature_names
-from millrace.operators.sizing import small_side
+from millrace.session import remove_scratch, scratch_path
 from millrace.sinks.tables import write_star_table
 from millrace.sources.files import from_rows, read_table
 
 ENGINE = ("sensor_id", "unit_number", "engine_model")
-ORDER_BY = {"dim_engine": "engine_id", "dim_date": "date_id", "dim_status": "status_id",
-            "fact_engine_health": "fact_id"}
+SERIES_ORDER = ("time_in_cycles", "window_start")
+ORDER_BY = {"dim_engine": "engine_id", "dim_date": "date_id", "dim_status": "status_id"}
 
 
 def dim_engine(scored: DataFrame) -> DataFrame:
@@ -56,12 +56,12 @@ def join_engine(scored: DataFrame, engines: DataFrame) -> DataFrame:
     """Inner join on sensor, unit and model; a missing model matches a missing model."""
     right = engines.select(*[F.col(c).alias(f"_{c}") for c in ENGINE], "engine_id")
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ENGINE]
-    return scored.join(small_side(right), same, "inner").drop(*[f"_{c}" for c in ENGINE])
+    return scored.join(right, same, "inner").drop(*[f"_{c}" for c in ENGINE])
 
 
 def join_date(scored: DataFrame, dates: DataFrame) -> DataFrame:
     """Inner join of the window start with the dimension's text."""
-    right = small_side(dates.select("timestamp_str", "date_id"))
+    right = dates.select("timestamp_str", "date_id")
     return scored.join(right, scored["window_start"] == right["timestamp_str"], "inner").drop("timestamp_str")
 
 
@@ -92,7 +92,7 @@ def fact_engine_health(
     )
     return placed.select(
         "engine_id", "date_id", "status_id", "time_in_cycles", "predicted_rul", *features,
-        C.surrogate_key("engine_id", "date_id", "time_in_cycles").alias("fact_id"),
+        C.wide_key("engine_id", "date_id", "time_in_cycles").alias("fact_id"),
     )
 
 
@@ -104,27 +104,48 @@ def score_silver(silver: DataFrame, model: PipelineModel, metrics: Sequence[str]
                  hot_rows: int = config.HOT_ROWS) -> DataFrame:
     """Features and predictions for every Silver row; order ties go by window."""
     rows = M.with_unit_number(silver.withColumn("engine_model", C.or_default_model("engine_model")))
-    features = M.feature_rows(rows, metrics, ("time_in_cycles", "window_start"), hot_rows=hot_rows)
+    features = M.feature_rows(rows, metrics, SERIES_ORDER, hot_rows=hot_rows, series="sensor_id")
     return M.score(model, features, metrics)
 
 
+def with_look_back(silver: DataFrame, dates: tuple[str, str]) -> DataFrame:
+    """The rows of the given days and, of every sensor, the rows before them that its frames reach back to."""
+    reach = max(config.ROLLING_WINDOWS) - 1
+    latest = Window.partitionBy("sensor_id").orderBy(*[F.col(c).desc() for c in SERIES_ORDER])
+    earlier = silver.filter(F.col("date") < dates[0]).withColumn("_rank", F.row_number().over(latest))
+    return silver.filter(F.col("date").between(*dates)).unionByName(earlier.filter(F.col("_rank") <= reach).drop("_rank"))
+
+
 def run_gold(spark: SparkSession, silver_path: str, runs_path: str, out: str,
              metrics: Sequence[str] = config.METRICS, dates: tuple[str, str] | None = None) -> bool:
-    """Full refresh of the star tables. False while there is no Silver."""
-    silver = read_table(spark, silver_path, dates)
+    """Refreshes the star tables, all of them or the given days. False while there is no Silver.
+
+    The fact is partitioned by day; a run over some days replaces those days' facts only, with features that look
+    back over earlier rows, and adds to the dimensions, so runs over parts give what one run over all gives
+    (for rows in the order of the days).
+    """
+    silver = read_table(spark, silver_path)
     if silver is None:
         return False
     model = load_latest_model(spark, runs_path)
     # scored once, then read by the dimensions and the fact
-    scored_path = f"{out}/scored"
-    score_silver(silver, model, metrics).write.mode("overwrite").parquet(scored_path)
+    scored_path = scratch_path(spark, "scored")
+    scored = score_silver(silver if dates is None else with_look_back(silver, dates), model, metrics)
+    (scored if dates is None else scored.filter(F.col("date").between(*dates))).write.parquet(scored_path)
     scored = spark.read.parquet(scored_path)
-    tables = {
-        "dim_engine": dim_engine(scored),
-        "dim_date": dim_date(scored),
-        "dim_status": dim_status(spark),
-        "fact_engine_health": fact_engine_health(scored, fact_features(metrics)),
-    }
+    tables = {"dim_engine": dim_engine(scored), "dim_date": dim_date(scored), "dim_status": dim_status(spark)}
     for name, table in tables.items():
-        write_star_table(table, f"{out}/{name}", ORDER_BY[name])
+        known = read_table(spark, f"{out}/{name}") if dates is not None else None
+        staged = scratch_path(spark, name)
+        (table if known is None else known.select(*table.columns).unionByName(table).distinct()).write.parquet(staged)
+        write_star_table(spark.read.parquet(staged), f"{out}/{name}", ORDER_BY[name])
+        remove_scratch(spark, staged)
+    day = F.to_date(F.substring(F.col("date_id").cast("string"), 1, 8), "yyyyMMdd").cast("string")
+    fact = fact_engine_health(scored, fact_features(metrics)).withColumn("date", day)
+    (
+        fact.repartitionByRange("date", "engine_id").sortWithinPartitions("date", "engine_id").write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if dates is None else "dynamic")
+        .partitionBy("date").parquet(f"{out}/fact_engine_health")
+    )
+    remove_scratch(spark, scored_path)
     return True
