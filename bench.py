@@ -25,6 +25,7 @@ HEADLINE = (
     "stream_bronze",
     "bi_status_counts",
     "bi_rul_correlation",
+    "train_and_score",
 )
 
 

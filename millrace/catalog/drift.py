@@ -81,10 +81,10 @@ def drift_flags(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("drift_report", oracle=f"""
-WITH {EVENTS}, n AS (SELECT count(*) FILTER (WHERE p_value < 0.05) AS number_of_drifted_columns FROM tests)
+WITH {EVENTS}, n AS (SELECT count(*) FILTER (WHERE p_value < 0.05) AS number_of_drifted_columns, count(*) AS n_tested FROM tests)
 SELECT number_of_drifted_columns / {len(FEATURES)}.0 >= 0.20 AS dataset_drift,
        round(CAST(number_of_drifted_columns AS DOUBLE) / {len(FEATURES)}, 6) AS share_of_drifted_columns,
-       number_of_drifted_columns FROM n""")
+       number_of_drifted_columns, n_tested FROM n""")
 def drift_report(spark: SparkSession, d: str) -> DataFrame:
     fact, _ = drift.drift_report(*_halves(spark, d), FEATURES)
     return t.rounded(fact.drop("date_id"), ["share_of_drifted_columns"], 6)

@@ -139,7 +139,7 @@ def regression_metrics(spark: SparkSession, d: str) -> DataFrame:
 WITH units AS (SELECT DISTINCT user_id FROM events),
   numbered AS (SELECT user_id, row_number() OVER (ORDER BY user_id) AS i FROM units),
   truth AS (SELECT s_acctbal AS rul, row_number() OVER (ORDER BY s_suppkey) AS i FROM supplier)
-SELECT CAST(user_id AS INTEGER) AS unit_number, rul FROM numbered JOIN truth USING (i)""")
+SELECT CAST(user_id AS INTEGER) AS unit_number, rul FROM numbered LEFT JOIN truth USING (i)""")
 def truth_by_position(spark: SparkSession, d: str) -> DataFrame:
     units = t.readings(spark, d).select(C.unit_number_of("sensor_id").alias("unit_number")).distinct()
     suppliers = t.table(spark, d, "supplier").select("s_suppkey", F.col("s_acctbal").alias("rul"))

@@ -10,7 +10,7 @@ from millrace.catalog.registry import query
 from millrace.functions import columns as C
 from millrace.operators import baselines as B
 from millrace.operators import cleaning, reshape
-from millrace.plans.silver import SILVER_KEY, silver_features, touched_days
+from millrace.plans.silver import SILVER_KEY, run_silver, silver_features, touched_days
 from millrace.session import scratch_path
 from millrace.sinks import tables as sinks
 from millrace.sources import files
@@ -206,10 +206,21 @@ SELECT sensor_id, window_start, time_in_cycles, round(view, 9) AS view, date, ve
 NEWEST_SQL = "QUALIFY row_number() OVER (PARTITION BY sensor_id, window_start ORDER BY version DESC) = 1"
 
 
-@query("upsert_merge", oracle=MERGED_SQL + "\n" + NEWEST_SQL)
+NO_DAY_SQL = """
+UNION ALL SELECT r_name, 'none', 0, CASE WHEN r_regionkey > 1 THEN r_regionkey + 100 ELSE r_regionkey END::DOUBLE, NULL,
+  CASE WHEN r_regionkey > 1 THEN 2 ELSE 1 END FROM region"""
+
+
+@query("upsert_merge", oracle=f"SELECT * FROM ({MERGED_SQL}\n{NEWEST_SQL}) {NO_DAY_SQL}")
 def upsert_merge(spark: SparkSession, d: str) -> DataFrame:
     first, changes = _versions(spark, d)
     path = scratch_path(spark, "silver")
+    # both loads have a row without a day
+    no_day = t.table(spark, d, "region").select(
+        F.col("r_name").alias("sensor_id"), F.lit("none").alias("window_start"), F.lit(0).alias("time_in_cycles"),
+        F.col("r_regionkey").cast("double").alias("view"), F.lit(None).cast("string").alias("date"))
+    first = first.unionByName(no_day.filter("view < 3").withColumn("version", F.lit(1)))
+    changes = changes.unionByName(no_day.filter("view > 1").withColumns({"view": F.col("view") + 100, "version": F.lit(2)}))
     sinks.write_partitioned(first, path)
     sinks.upsert(changes, path, SILVER_KEY, ["version", "time_in_cycles"])
     return t.rounded(files.read_table(spark, path).select(*changes.columns), ["view"])
@@ -247,17 +258,6 @@ def partitioned_read(spark: SparkSession, d: str) -> DataFrame:
     return days.select("sensor_id", "metric", "value", "event_time", "date")
 
 
-@query("compact", oracle=f"""
-WITH {t.READINGS_SQL}
-SELECT sensor_id, metric, value, event_time, strftime(event_timestamp, '%Y-%m-%d') AS date FROM readings""")
-def compact(spark: SparkSession, d: str) -> DataFrame:
-    path = scratch_path(spark, "fragmented")
-    fragments = cleaning.dated(t.readings(spark, d)).repartition(6)
-    fragments.write.partitionBy("date").parquet(path)
-    sinks.compact(spark, path)
-    return files.read_table(spark, path).select("sensor_id", "metric", "value", "event_time", "date")
-
-
 @query("append_and_overwrite", oracle="""
 SELECT n_nationkey, n_name, n_regionkey FROM nation UNION ALL SELECT n_nationkey, n_name, n_regionkey FROM nation""")
 def append_and_overwrite(spark: SparkSession, d: str) -> DataFrame:
@@ -314,7 +314,8 @@ def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "train-csv")
     rows = t.training_rows(spark, d).withColumn("RUL", F.col("time_in_cycles") * F.lit(1.5))
     schema = files.training_schema(M)
-    rows.select(*schema.names).write.csv(path, sep=";", header=True)
+    # the order of the columns in the file is another, and it has one more
+    rows.select(*reversed(schema.names), "window_start").write.csv(path, sep=";", header=True)
     return t.rounded(files.read_training_csv(spark, path, M), M)
 
 
@@ -324,5 +325,52 @@ SELECT unit_number, time_in_cycles, {t.rounded_sql(M)}, engine_model FROM wide""
 def test_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "test-csv")
     schema = files.training_schema(M, rul=False)
-    t.training_rows(spark, d).select(*schema.names).write.csv(path, sep=",", header=True)
+    t.training_rows(spark, d).select(*sorted(schema.names)).write.csv(path, sep=",", header=True)
     return t.rounded(files.read_test_csv(spark, path, M), M)
+
+
+@query("read_truth", oracle="""
+SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS row_index, CAST(c_custkey % 130 AS DOUBLE) AS rul FROM customer""")
+def read_truth(spark: SparkSession, d: str) -> DataFrame:
+    """A headerless file, one value a line, read back with its positions."""
+    path = scratch_path(spark, "truth")
+    customers = t.table(spark, d, "customer").orderBy("c_custkey").select((F.col("c_custkey") % 130).cast("string").alias("value"))
+    customers.coalesce(1).write.text(path)  # lines have an order within one file only
+    return files.read_truth(spark, path)
+
+
+@query("dedupe_newest", oracle=f"""
+WITH {t.READINGS_SQL}, copies AS (
+  SELECT sensor_id, metric, event_time, engine_model, time_in_cycles, value, 1 AS v FROM readings
+  UNION ALL SELECT sensor_id, metric, event_time, engine_model, time_in_cycles, -value, 2 FROM readings WHERE time_in_cycles % 2 = 0
+  UNION ALL SELECT sensor_id, metric, event_time, NULL, time_in_cycles, value + 1000, 0 FROM readings)
+SELECT sensor_id, metric, event_time, value FROM copies
+QUALIFY row_number() OVER (PARTITION BY sensor_id, metric, event_time ORDER BY v DESC, value DESC) = 1""")
+def dedupe_newest(spark: SparkSession, d: str) -> DataFrame:
+    """Copies that contradict each other, also in their model: the one processed last counts."""
+    rows = t.readings(spark, d)
+    at = lambda df, minute: df.withColumn("processed_at", F.lit(f"2024-03-01 00:0{minute}:00").cast("timestamp"))
+    corrected = rows.filter("time_in_cycles % 2 = 0").withColumn("value", -F.col("value"))
+    older = rows.withColumns({"value": F.col("value") + 1000, "engine_model": F.lit(None).cast("string")})
+    return cleaning.dedupe_readings(at(rows, 1).unionByName(at(corrected, 2)).unionByName(at(older, 0))).select(
+        "sensor_id", "metric", "event_time", "value")
+
+
+@query("silver_accounting", oracle=f"""
+WITH {t.READINGS_SQL}
+SELECT 'averaged' AS place, count(*) FILTER (WHERE value >= 5) AS n FROM readings
+UNION ALL SELECT 'no readable time', count(*) FILTER (WHERE value >= 1 AND value < 5) FROM readings
+UNION ALL SELECT 'no sensor', count(*) FILTER (WHERE value < 1) FROM readings""")
+def silver_accounting(spark: SparkSession, d: str) -> DataFrame:
+    """Readings in are readings averaged or quarantined, through the whole Silver run."""
+    rows = t.readings(spark, d).withColumns({
+        "sensor_id": F.when(F.col("value") >= 1, F.col("sensor_id")),
+        "event_time": F.when((F.col("value") < 1) | (F.col("value") >= 5), F.col("event_time")).otherwise("never"),
+        "metric": F.concat("metric", F.lit("-"), F.col("event_time"))})  # every reading a metric of its own
+    bronze, silver, bad = (scratch_path(spark, x) for x in ("bronze", "silver", "rejects"))
+    sinks.write_partitioned(cleaning.dated(cleaning.stamped(rows)), bronze)
+    run_silver(spark, bronze, silver, metrics=M, quarantine_path=bad)
+    rejects = spark.read.parquet(bad).groupBy(F.col("reason").alias("place")).agg(F.count(F.lit(1)).alias("n"))
+    good = cleaning.valid_readings(cleaning.dedupe_readings(files.read_table(spark, bronze)))
+    averaged = cleaning.split_by_time(good)[0].agg(F.count(F.lit(1)).alias("n")).select(F.lit("averaged").alias("place"), "n")
+    return averaged.unionByName(rejects)

@@ -17,22 +17,21 @@ DATE_KEY = "CAST(strftime(w, '%Y%m%d%H%M') AS BIGINT)"
 
 
 def _plain(spark: SparkSession, d: str) -> DataFrame:
-    """Scored rows without the rolling features, for what does not show them. Kept once, as the
-    pipeline does, since dimensions and fact both read them."""
-    rows = t.labelled(spark, d).withColumn("predicted_rul", F.col("RUL").cast("double"))
-    return rows.checkpoint()
+    """Scored rows without the rolling features, for what does not show them. The prediction is the label and a
+    number of cycles that differs by unit, so that engines end in different states."""
+    spread = F.col("unit_number") % 7 * 11
+    return t.labelled(spark, d).withColumn("predicted_rul", (F.col("RUL") + spread).cast("double"))
 
 
 def _star(spark: SparkSession, d: str) -> DataFrame:
     rows = _plain(spark, d)
     fact = gold.fact_engine_health(rows, M)
-    engines, dates = gold.dim_engine(rows).checkpoint(), gold.dim_date(rows).checkpoint()
-    return dashboard.star_join(fact, engines, dates, gold.dim_status(spark))
+    return dashboard.star_join(fact, gold.dim_engine(rows), gold.dim_date(rows), gold.dim_status(spark))
 
 
 STAR = f"""{t.wide_sql()}, scored AS (
   SELECT *, CAST(w AS VARCHAR) AS timestamp_str,
-         CAST(max(time_in_cycles) OVER (PARTITION BY unit_number) - time_in_cycles AS DOUBLE) AS predicted_rul
+         CAST(max(time_in_cycles) OVER (PARTITION BY unit_number) - time_in_cycles + unit_number % 7 * 11 AS DOUBLE) AS predicted_rul
   FROM wide),
 star AS (
   SELECT *, {t.band_sql('predicted_rul')} AS status_id,
@@ -82,7 +81,7 @@ def dim_status(spark: SparkSession, d: str) -> DataFrame:
 WITH {t.scored_sql()}, keyed AS (
   SELECT *, {ENGINE_KEY} AS engine_id, {DATE_KEY} AS date_id, {t.band_sql('predicted_rul')} AS status_id FROM scored)
 SELECT engine_id, date_id, status_id, time_in_cycles, predicted_rul, {t.rounded_sql(M)}, {t.rounded_features_sql(M)},
-       {t.key_sql('engine_id', 'date_id', 'time_in_cycles')} AS fact_id FROM keyed""")
+       {t.wide_key_sql('engine_id', 'date_id', 'time_in_cycles')} AS fact_id FROM keyed""")
 def fact_engine_health(spark: SparkSession, d: str) -> DataFrame:
     return t.rounded(t.rounded_features(gold.fact_engine_health(t.scored(spark, d), FEATURES), M), M)
 
@@ -90,7 +89,7 @@ def fact_engine_health(spark: SparkSession, d: str) -> DataFrame:
 @query("fact_from_stored_dimensions", oracle=f"""
 WITH {STAR}
 SELECT {ENGINE_KEY} AS engine_id, {DATE_KEY} AS date_id, status_id, time_in_cycles, predicted_rul,
-       {t.rounded_sql(M)}, {t.key_sql(ENGINE_KEY, DATE_KEY, 'time_in_cycles')} AS fact_id FROM star""")
+       {t.rounded_sql(M)}, {t.wide_key_sql(ENGINE_KEY, DATE_KEY, 'time_in_cycles')} AS fact_id FROM star""")
 def fact_from_stored_dimensions(spark: SparkSession, d: str) -> DataFrame:
     rows = _plain(spark, d)
     fact = gold.fact_engine_health(rows, M, gold.dim_engine(rows), gold.dim_date(rows))

@@ -17,8 +17,9 @@ COLUMNS = READING_SCHEMA.names
 
 
 def _landed(spark: SparkSession, d: str) -> str:
+    """JSON files as a producer leaves them, in the order of time."""
     path = scratch_path(spark, "landing")
-    bronze.write_landing_files(t.readings(spark, d), path)
+    t.readings(spark, d).repartitionByRange(4, "event_time").write.json(path)
     return path
 
 
@@ -28,11 +29,25 @@ SELECT sensor_id, engine_model, time_in_cycles, metric, value, event_time,
        strftime(event_timestamp, '%Y-%m-%d') AS date FROM readings""")
 def stream_bronze(spark: SparkSession, d: str) -> DataFrame:
     out, checkpoint = scratch_path(spark, "bronze"), scratch_path(spark, "bronze-progress")
-    rows = bronze.to_bronze(bronze.stream_readings(spark, _landed(spark, d), max_files=2))
-    bronze.start_bronze(rows, out, checkpoint, trigger=ALL).awaitTermination()
+    bronze.start_bronze(bronze.stream_readings(spark, _landed(spark, d), max_files=2), out, checkpoint, trigger=ALL).awaitTermination()
     return read_table(spark, out).select(*COLUMNS, "date")
 
 
+@query("stream_accounting", oracle=f"""
+WITH {t.READINGS_SQL}
+SELECT 'bronze' AS place, count(*) FILTER (WHERE value >= 1) AS n FROM readings
+UNION ALL SELECT 'quarantine', (SELECT count(*) FROM readings WHERE value < 1) + (SELECT count(*) FROM region)""")
+def stream_accounting(spark: SparkSession, d: str) -> DataFrame:
+    """Lines in are rows out: readings without a sensor and lines that are no JSON are all in quarantine."""
+    landing, out, bad = (scratch_path(spark, x) for x in ("landing", "bronze", "rejects"))
+    blanked = t.readings(spark, d).withColumn("sensor_id", F.when(F.col("value") >= 1, F.col("sensor_id")))
+    prose = t.table(spark, d, "region").select(F.concat(F.lit("no json: "), F.col("r_name")).alias("value"))
+    blanked.select(F.to_json(F.struct("*")).alias("value")).unionByName(prose).write.text(landing)
+    bronze.start_bronze(bronze.stream_readings(spark, landing), out, scratch_path(spark, "progress"), trigger=ALL, quarantine=bad).awaitTermination()
+    count = lambda path, name: spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("place"), "n")
+    return count(out, "bronze").unionByName(count(bad, "quarantine"))
+
+
 LATE = "INTERVAL 10 MINUTE"
 
 
@@ -54,14 +69,3 @@ def stream_window_avg(spark: SparkSession, d: str) -> DataFrame:
     )
     flat = reshape.with_window_keys(spark.read.parquet(out)).drop("date")
     return t.rounded(flat, ["value"])
-
-
-@query("replay_order", oracle=f"""
-WITH {t.READINGS_SQL}
-SELECT time_in_cycles, count(*) AS readings, min(sensor_id) AS first_sensor FROM readings GROUP BY 1""")
-def replay_order(spark: SparkSession, d: str) -> DataFrame:
-    """What a replay sends per cycle, read back from the landing files."""
-    landed = spark.read.schema(READING_SCHEMA).json(_landed(spark, d))
-    return landed.groupBy("time_in_cycles").agg(
-        F.count(F.lit(1)).alias("readings"), F.min("sensor_id").alias("first_sensor")
-    )

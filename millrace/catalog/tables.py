@@ -146,8 +146,12 @@ scored AS (
 
 
 def key_sql(*parts: str) -> str:
-    text = " || '|' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
-    return f"CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT)"
+    return f"CAST(('0x' || substr({wide_key_sql(*parts)}, 1, 15)) AS BIGINT)"
+
+
+def wide_key_sql(*parts: str) -> str:
+    marked = [f"coalesce(length(CAST({p} AS VARCHAR)) || ':' || CAST({p} AS VARCHAR), 'n')" for p in parts]
+    return f"md5({' || '.join(marked)})"
 
 
 def band_sql(rul: str) -> str:

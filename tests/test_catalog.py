@@ -21,14 +21,15 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - set(entry_points.training_data()[0])))
 def test_query_equals_sql(spark, db, name):
-    sql = entry_points.oracle_sql()[name]
+    sql = entry_points.oracle_sql().get(name)
     df = entry_points.queries()[name](spark, SF_DIR)
     found = df.toPandas()
     assert len(found) > 0
-    assert differences(found, db.execute(sql).df()) is None
-    assert type_differences(df, db, sql) is None
+    if sql is not None:
+        assert differences(found, db.execute(sql).df()) is None
+        assert type_differences(df, db, sql) is None
 
 
 def test_every_oracle_has_a_query():

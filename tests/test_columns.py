@@ -48,7 +48,7 @@ def test_engine_models(spark):
 
 def test_surrogate_keys_do_not_run_together(spark):
     rows = spark.createDataFrame(
-        [("1", "23"), ("12", "3"), ("", "a"), (None, "a"), ("a", None), ("a", "")], "a string, b string"
+        [("1", "23"), ("12", "3"), ("", "a"), (None, "a"), ("a", None), ("a", ""), ("a|b", "c"), ("a", "b|c")], "a string, b string"
     )
     keys = [r["k"] for r in rows.select(C.surrogate_key("a", "b").alias("k")).collect()]
     assert len(set(keys)) == len(keys) and all(0 <= k < 1 << 60 for k in keys)

@@ -3,6 +3,7 @@ from datetime import datetime
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators import baselines, cleaning, drift, indexing, labels, reshape, rolling
 from millrace.operators.schema_check import SchemaMismatch, check_schema, schema_differences
@@ -149,6 +150,14 @@ def test_rolling_shuffles_once(spark):
     assert plan.count("Exchange hashpartitioning(unit") == 1 and plan.count("Sort [") == 1
 
 
+def test_ties_give_the_same_frames_whatever_the_limit(spark):
+    rows = spark.range(3000).selectExpr("if(id % 7 = 0, null, cast(id % 2 as int)) as unit", "cast(id % 5 as int) as cycle",
+                                        "cast(id * 7 % 31 as double) as a", "id")
+    got = [sorted(map(tuple, rolling.rolling_features(rows, "unit", ["cycle"], ["a"], hot_rows=n).select("id", F.round("a_mean_15", 9)).collect()))
+           for n in (100, 700, 10**6)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 3000
+
+
 def test_a_unit_with_a_third_of_the_rows_is_split(spark):
     rows = spark.range(6000).selectExpr(
         "if(id % 3 = 0, 0, cast(1 + id % 200 as int)) as unit", "cast(id as int) as cycle", "cast(id * 7 % 31 as double) as a"
@@ -217,6 +226,8 @@ def test_truth_meets_units_by_position(spark, tmp_path):
     units = spark.createDataFrame([(30, 1.0), (2, 2.0), (11, 3.0)], "unit_number int, p double")
     got = {r["unit_number"]: r["rul"] for r in indexing.join_by_position(units, truth).collect()}
     assert got == {2: 112.0, 11: 98.0, 30: 69.0}
+    more = units.union(spark.createDataFrame([(40, 0.0)], units.schema))
+    assert {r["unit_number"]: r["rul"] for r in indexing.join_by_position(more, truth).collect()}[40] is None
 
 
 def test_errors_and_preview(spark):
@@ -229,6 +240,8 @@ def test_errors_and_preview(spark):
 def test_rul_label(spark):
     rows = spark.createDataFrame([(1, 1), (1, 5), (2, 3)], "unit_number int, time_in_cycles int")
     assert sorted(r["RUL"] for r in labels.with_rul(rows).collect()) == [0, 0, 4]
+    lost = spark.createDataFrame([(None, 1), (None, 3)], "unit_number int, time_in_cycles int")
+    assert sorted(r["RUL"] for r in labels.with_rul(lost).collect()) == [0, 2]
 
 
 def test_schema_check(spark):

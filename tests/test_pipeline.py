@@ -10,7 +10,7 @@ from millrace import config
 from millrace.ml import model as ml
 from millrace.ml.runs import RUN_SCHEMA, load_latest_model, log_run
 from millrace.operators import baselines, labels
-from millrace.plans import dashboard, gold
+from millrace.plans import dashboard, gold, training
 from millrace.plans.monitoring import drift_features, run_drift
 from millrace.plans.silver import run_silver
 from millrace.session import scratch_path
@@ -38,20 +38,20 @@ def wide(spark, units, first_unit=1, seed=0):
 @pytest.fixture(scope="module")
 def trained(spark):
     rows = ml.feature_rows(wide(spark, 12), METRICS)
-    model, measures, training = ml.train(rows, METRICS, params=PARAMS)
-    return rows, model, measures.first(), training
+    model, measures, sample = ml.train(rows, METRICS, params=PARAMS)
+    return rows, model, measures.first(), sample
 
 
 def test_training_beats_the_mean(trained):
-    rows, _, measures, training = trained
+    rows, _, measures, sample = trained
     spread = labels.cap_rul(rows).agg(F.stddev_pop("RUL")).first()[0]
     assert measures["rmse"] < 0.6 * spread
     total = rows.count()
-    assert 0.7 < training.count() / total < 0.9 and measures["n"] + training.count() == total
+    assert 0.7 < sample.count() / total < 0.9 and measures["n"] + sample.count() == total
 
 
 def test_default_parameters():
-    trees = ml.build_pipeline(METRICS).getStages()[2]
+    trees = ml.build_pipeline(METRICS).getStages()[-1]
     assert (trees.getMaxIter(), trees.getMaxDepth(), trees.getStepSize()) == (500, 6, 0.03)
     assert (trees.getSubsamplingRate(), trees.getFeatureSubsetStrategy(), trees.getSeed()) == (0.8, "0.6", 42)
 
@@ -71,19 +71,29 @@ def test_evaluation_on_unseen_units(spark, trained):
     assert measures.first()["n"] == 6 and joined.count() == 6 and measures.first()["mae"] < 25
 
 
-def test_outside_model_in_batches(spark, trained):
-    rows = trained[0]
-    scored = ml.score_in_batches(rows, lambda x: x["temp_a"] * 2, ["temp_a"])
-    assert scored.filter("abs(predicted_rul - 2 * temp_a) > 1e-9").count() == 0
+def test_training_and_evaluation_flows(spark, path):
+    """From CSV files to a logged model, its reference sample and its error on other units."""
+    rows = wide(spark, 8)
+    rows.write.csv(path("train"), sep=";", header=True)
+    training.run_baselines(spark, path("train"), path("base"), METRICS)
+    assert spark.read.parquet(path("base")).count() == 8
+    training.run_training(spark, path("train"), path("models"), path("runs"), path("ref"), METRICS, PARAMS)
+    assert 0.7 < spark.read.parquet(path("ref")).count() / rows.count() < 0.9
+    cut = wide(spark, 5, first_unit=100, seed=9).filter("RUL >= 5").cache()
+    cut.drop("RUL").write.csv(path("test"), sep=",", header=True)
+    left = cut.groupBy("unit_number").agg(F.min("RUL").cast("string").alias("value")).orderBy("unit_number").drop("unit_number")
+    left.coalesce(1).write.text(path("truth"))
+    measures, preview = training.run_evaluation(spark, path("test"), path("truth"), path("runs"), METRICS)
+    assert measures.first()["n"] == 5 and measures.first()["mae"] < 30 and preview.count() == 5
 
 
 def test_the_whole_way(spark, trained, path):
-    rows, model, measures, training = trained
+    rows, model, measures, sample = trained
     # model, run log, reference sample, baselines
     model_path = scratch_path(spark, "model")
     model.write().save(model_path)
     log_run(spark, path("runs"), "training", vars(PARAMS), {"rmse": measures["rmse"]}, model_path)
-    ml.export_reference(training, path("reference"), METRICS)
+    ml.export_reference(sample, path("reference"), METRICS)
     tables.overwrite(baselines.compute_baselines(wide(spark, 12), METRICS), path("baselines"))
     assert load_latest_model(spark, path("runs")).stages[0].labels == sorted(config.ENGINE_MODELS)
 
@@ -94,12 +104,12 @@ def test_the_whole_way(spark, trained, path):
         for i, m in enumerate(METRICS):
             if (r["time_in_cycles"] + i) % 10:
                 messages.append((f"unit_{r['unit_number']}", r["engine_model"], r["time_in_cycles"], m, r[m],
-                                 (start + timedelta(minutes=r["time_in_cycles"])).isoformat()))
+                                 (start + timedelta(minutes=30 * r["time_in_cycles"])).isoformat()))
     messages.append(("", "x", 1, "temp_a", 1.0, start.isoformat()))
     assert not run_silver(spark, path("bronze"), path("silver"))
     landed = files.from_rows(spark, messages, files.READING_SCHEMA)
-    bronze.write_landing_files(landed, path("landing"))
-    stream = bronze.to_bronze(bronze.stream_readings(spark, path("landing")))
+    landed.repartitionByRange(3, "time_in_cycles").write.json(path("landing"))
+    stream = bronze.stream_readings(spark, path("landing"))
     bronze.start_bronze(stream, path("bronze"), path("progress"), trigger={"availableNow": True}).awaitTermination()
 
     cycles = wide(spark, 4, seed=4).select("unit_number", "time_in_cycles").count()
@@ -110,6 +120,11 @@ def test_the_whole_way(spark, trained, path):
         assert silver.filter("temp_a IS NULL OR debit_refroidissement_b IS NULL").count() == 0
 
     assert run_gold(spark, path)
+    whole = sorted(map(str, spark.read.parquet(path("gold") + "/fact_engine_health").select("fact_id", "predicted_rul", "temp_a_mean_15").collect()))
+    for part in (("2024-05-01", "2024-05-01"), ("2024-05-02", "2024-05-09")):  # no day twice
+        assert gold.run_gold(spark, path("silver"), path("runs"), path("parts"), METRICS, dates=part)
+    parts = spark.read.parquet(path("parts") + "/fact_engine_health")
+    assert sorted(map(str, parts.select("fact_id", "predicted_rul", "temp_a_mean_15").collect())) == whole
     facts, engines, dates, statuses = (spark.read.parquet(path("gold") + "/" + t) for t in
                                        ("fact_engine_health", "dim_engine", "dim_date", "dim_status"))
     assert facts.count() == cycles == facts.select("fact_id").distinct().count()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import cleaning
 from millrace.plans.silver import touched_days
+from millrace.session import shared_dir
 from millrace.sinks import tables
 from millrace.sources import files
 from millrace.streaming import bronze
@@ -43,17 +44,25 @@ def test_upsert_tie_goes_to_the_later_order_column(spark, path):
     assert content(spark, path("t")) == [("a", "2024-01-01", 2, 5)]
 
 
-def test_compact_keeps_rows_and_cuts_files(spark, path):
-    rows = spark.range(900).selectExpr("cast(id as string) k", "if(id % 3 = 0, '2024-01-01', '2024-01-02') date",
-                                       "cast(id as int) v", "0 t")
-    rows.repartition(20).write.partitionBy("date").parquet(path("t"))
-    before = content(spark, path("t"))
-    count = lambda: sum(f.endswith(".parquet") for _, _, fs in os.walk(path("t")) for f in fs)
-    many = count()
-    tables.compact(spark, path("t"))
-    assert content(spark, path("t")) == before and count() == 2 < many
-    tables.compact(spark, path("t"), target_bytes=1500)  # split again
-    assert content(spark, path("t")) == before and count() > 2
+def test_upsert_keeps_rows_without_a_day_and_leaves_no_scratch(spark, path):
+    tables.upsert(spark.createDataFrame([("a", None, 1, 1), ("b", "2024-01-01", 1, 1)], ROW), path("t"), ["k"], ["t"])
+    before = set(os.listdir(shared_dir(spark)))
+    tables.upsert(spark.createDataFrame([("c", None, 2, 2)], ROW), path("t"), ["k"], ["t"])
+    assert content_any(spark, path("t")) == [("a", None), ("b", "2024-01-01"), ("c", None)]
+    assert not [x for x in set(os.listdir(shared_dir(spark))) - before if x.startswith(("changes", "merged"))]
+
+
+def content_any(spark, path):
+    return sorted((r["k"], r["date"]) for r in files.read_table(spark, path).collect())
+
+
+def test_merge_reads_only_touched_partitions(spark, path):
+    tables.write_partitioned(spark.createDataFrame([(str(d), f"2024-01-{d:02d}", d, 0) for d in range(1, 11)], ROW), path("t"))
+    changes = spark.createDataFrame([("3", "2024-01-03", 9, 9)], ROW)
+    merged = tables.merge(files.read_table(spark, path("t")), changes, ["k"], ["t"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01-03" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert [tuple(r) for r in merged.select("k", "v").collect()] == [("3", 9)]
 
 
 def test_date_range_prunes_partitions(spark, path):
@@ -82,11 +91,13 @@ def test_star_table_is_sorted_within_files(spark, path):
 
 
 def test_csv_readers(spark, tmp_path):
-    (tmp_path / "train.csv").write_text("unit_number;time_in_cycles;a;b;RUL;engine_model\n1;2;0.5;;9;X\n")
+    (tmp_path / "train.csv").write_text("time_in_cycles;unit_number;b;a;engine_model;RUL;more\n2;1;;0.5;X;9;z\n")
     (tmp_path / "test.csv").write_text("unit_number,time_in_cycles,a,b,engine_model\n1,2,0.5,3,X\n")
     train = files.read_training_csv(spark, str(tmp_path / "train.csv"), ["a", "b"])
     assert tuple(train.first()) == (1, 2, 0.5, None, 9.0, "X")
     assert tuple(files.read_test_csv(spark, str(tmp_path / "test.csv"), ["a", "b"]).first()) == (1, 2, 0.5, 3.0, "X")
+    with pytest.raises(ValueError, match="no column c"):
+        files.read_test_csv(spark, str(tmp_path / "test.csv"), ["a", "c"])
 
 
 # --- streams --------------------------------------------------------------------------------
@@ -108,8 +119,8 @@ def bronze_rows(spark, path):
 
 
 def run_bronze(spark, path, max_files=1, **source):
-    rows = bronze.to_bronze(bronze.stream_readings(spark, path("in"), max_files=max_files, **source))
-    query = bronze.start_bronze(rows, path("out"), path("progress"), trigger=ALL)
+    rows = bronze.stream_readings(spark, path("in"), max_files=max_files, **source)
+    query = bronze.start_bronze(rows, path("out"), path("progress"), trigger=ALL, quarantine=path("rejects"))
     query.awaitTermination()
     return query
 
@@ -122,6 +133,9 @@ def test_stream_batches_restart_and_filter(spark, path):
     assert sum(n > 0 for n in batches) == 2  # one file each
     want = [("unit_1", 1, "2024-01-01"), ("unit_1", 3, "2024-01-01"), ("unit_1", 4, None)]
     assert sorted(bronze_rows(spark, path("out")), key=str) == sorted(want, key=str)
+    rejects = spark.read.parquet(path("rejects")).collect()
+    assert sorted((r["time_in_cycles"], r[files.CORRUPT]) for r in rejects if r["time_in_cycles"]) == [(2, None)]
+    assert [r[files.CORRUPT] for r in rejects if not r["time_in_cycles"]] == ["not json"]
     land(path("in"), "3.json", [message(5)])
     run_bronze(spark, path)  # continues after the checkpoint
     assert len(bronze_rows(spark, path("out"))) == 4
@@ -167,16 +181,6 @@ def test_stream_windows_equal_batch_windows(spark, path, max_files):
     assert got == [(i, float(i)) for i in range(25)]
 
 
-def test_replay_order_spreads_one_cycle(spark):
-    rows = spark.range(2000).selectExpr(
-        "concat('unit_', id % 50) sensor_id", "'A' engine_model", "if(id % 3 = 0, 1, cast(id % 9 as int)) time_in_cycles",
-        "'m' metric", "1D value", "cast(timestamp_seconds(id) as string) event_time")
-    parts = bronze.replay_order(rows, 8).withColumn("p", F.spark_partition_id()).collect()
-    assert len({r["p"] for r in parts if r["time_in_cycles"] == 1}) > 1
-    cycles = [r["time_in_cycles"] for r in parts]
-    assert cycles == sorted(cycles)
-
-
 def test_null_days_and_valid_filter_do_not_lose_rows(spark):
     rows = files.from_rows(spark, [tuple(message(1, time="x").values())], files.READING_SCHEMA)
     assert cleaning.dated(rows).first()["date"] is None
