@@ -190,7 +190,13 @@ def preview_top10(spark: SparkSession, d: str) -> DataFrame:
     return labels.preview(orders, "o_orderkey", "predicted", "actual")
 
 
-@query("schema_check")
+FEATURE_COLUMNS = ["sensor_id", "engine_model", "time_in_cycles", *M, "window_start", "date", "unit_number"]
+
+
+@query("schema_check", oracle=f"""
+SELECT (SELECT count(*) FROM lineitem) AS rows, "column", problem FROM (
+  SELECT column_name AS "column", 'unexpected' AS problem FROM (DESCRIBE lineitem)
+  UNION ALL SELECT unnest({FEATURE_COLUMNS}), 'missing')""")
 def schema_check(spark: SparkSession, d: str) -> DataFrame:
     """How the rows of ``lineitem`` differ from the schema of the event features, with the row count."""
     lines, features = t.table(spark, d, "lineitem"), t.training_rows(spark, d)
