@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import connected_components
-from millrace.llm.staging import stored
+from millrace.llm.staging import free_name, stored
 from millrace.llm.words import slices
 
 SHINGLE = 4
@@ -170,12 +170,12 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     Rows without doc_id are kept only if their component has no row with one, and then one of them; of rows that
     repeat the kept doc_id the one with the smallest text hash stays.
     """
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    rows = stored(rows, "simhash-docs")
-    marked = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), shingle, max_bits)
-    ids = rows.select("_row", F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"))
+    row = free_name(docs, "_row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
+    marked = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), shingle, max_bits)
+    ids = rows.select(F.col(row).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"))
     best = (
         marked.join(ids, marked.doc_id == ids._row).groupBy("component_id")
         .agg(F.min_by("_row", F.struct(F.col("_id").isNull(), "_id", "_h", "_row")).alias("_row"))
     )
-    return rows.join(best.select("_row"), "_row", "left_semi").drop("_row")
+    return rows.join(best.select(F.col("_row").alias(row)), row, "left_semi").drop(row)

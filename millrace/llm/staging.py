@@ -19,6 +19,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 BATCH_ROWS = 1000
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or it with underscores before it, so that no column of ``df`` has it."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name = f"_{name}"
+    return name
+
 MAX_TASKS = 10_000
 
 

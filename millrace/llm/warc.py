@@ -193,19 +193,17 @@ def _starts_member(file: Blocks, at: int) -> bool:
 
 def _next_start(file: Blocks, at: int) -> int:
     """Next place from ``at`` where a member or a record may begin, or the end of the file."""
-    member, line = at, at
+    member = at
     while (member := file.find(GZIP, member)) >= 0 and not _starts_member(file, member):
         member += 1
-    line = file.find(b"\r\n" + VERSION, max(0, line - 2))
-    return min((x for x in (member, line + 2 if line >= 0 else -1) if x >= at), default=file.size)
+    return min((x for x in (member, file.find(VERSION, at)) if x >= 0), default=file.size)
 
 
 def salvage(uri: str) -> Iterator[dict]:
     """Records of one file, in order, and a row of type ``gap`` with its reason for every range of bytes left out.
 
     A record counts if its version line, headers, content length, end and digests hold. After a failed check the
-    next gzip member whose content begins with a version line, or the next version line at a line's start, is
-    tried; a record whose frame is sound but whose digest differs is left out alone. Adjacent gaps are one.
+    next gzip member whose content begins with a version line, or the next version line, is tried, and so on; a record whose frame is sound but whose digest differs is left out alone. Adjacent gaps are one.
     """
     file = Blocks(uri)
     at, gap, reason = 0, None, None

@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.staging import stored
+from millrace.llm.staging import free_name, stored
 
 BITS = 16  # of the hashed feature space
 TRAINING_ROWS = 20_000  # bound of the sample of documents that the scorer is fitted on
@@ -213,14 +213,15 @@ def classified(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     null labels are allowed; columns of ``docs`` with the added names are replaced.
     """
     added = ["junk_score", "toxic_score", "junk_posterior", "toxic_posterior", "kept"]
-    docs = docs.drop(*added, "_row")
-    columns = docs.columns
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "weak-docs")
-    classifier, voted = fit(rows, labels)
-    found = score(rows.select("_row", "text"), classifier).drop("text").join(voted, "_row")
+    docs = docs.drop(*added)
+    columns, row = docs.columns, free_name(docs, "_row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "weak-docs")
+    texts = rows.select(F.col(row).alias("_row"), "doc_id", "text")
+    classifier, voted = fit(texts, labels)
+    found = score(texts.select("_row", "text"), classifier).drop("text").join(voted, "_row")
     mean = lambda t: (F.col(f"{t}_score") + F.col(t)) / 2
     found = found.withColumn("kept", (mean("junk") <= threshold) & (mean("toxic") <= threshold))
     found = found.withColumnsRenamed({"junk": "junk_posterior", "toxic": "toxic_posterior"})
-    return rows.join(found, "_row").select(*columns, *added)
+    return rows.join(found.withColumnRenamed("_row", row), row).select(*columns, *added)
 
 

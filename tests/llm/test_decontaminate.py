@@ -39,9 +39,9 @@ def data():
         parts = [rng.choice(words) for _ in range(rng.randrange(0, 300))]
         for _ in range(rng.randrange(0, 3)):
             copy = rng.choice(items)[1].split()
-            for _ in range(rng.randrange(0, 3)):
+            for _ in range(rng.choice([0, 0, 0, 1])):
                 copy[rng.randrange(len(copy))] = rng.choice(words)
-            if rng.random() < 0.3:  # only a piece, or with other marks and case
+            if rng.random() < 0.2:  # only a piece, or with other marks and case
                 copy = copy[: max(1, int(len(copy) * 0.85))]
             copy = [w.upper() if rng.random() < 0.2 else w + rng.choice(["", ",", "!!"]) for w in copy]
             at = rng.randrange(len(parts) + 1)
@@ -58,7 +58,7 @@ def test_equals_brute_force(spark, monkeypatch, block):
     docs, items = data()
     df, bench = spark.createDataFrame(docs, DOCS).repartition(3), spark.createDataFrame(items, ITEMS)
     want = brute(docs, items)
-    assert len(want) > 30
+    assert len(want) > 15
     assert sorted(map(tuple, decontaminate.contaminated(df, bench).collect()), key=str) == want
     bad = {str((d,)) for d, *_ in want}
     kept = decontaminate.without_benchmark(df, bench)

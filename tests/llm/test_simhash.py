@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.llm import simhash
 from millrace.llm.components import connected_components
 
-SCHEMA = "doc_id long, text string, label string, fp string, cell long, root long"
+SCHEMA = "doc_id long, text string, label string, fp string, _row long, root long"
 
 
 def brute_fingerprint(text):

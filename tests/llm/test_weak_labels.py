@@ -5,7 +5,7 @@ import pytest
 
 from millrace.llm import weak_labels
 
-DOCS = "doc_id long, text string, kept string, toxic long"
+DOCS = "doc_id long, text string, kept string, toxic long, _row string"
 SF = "/root/testdata/sf0.01"
 
 
@@ -38,7 +38,7 @@ def test_kept_and_rejected_documents(spark):
 
 
 def test_odd_rows(spark):
-    rows = [(1, None, "clash", 1), (2, "", "", 1), (None, "some words here", "", 1), (3, "a b c", "", 1), (3, "a b c", "", 1), (4, "idiot scum " * 50_000, "", 1)]
+    rows = [(1, None, "clash", 1, "r"), (2, "", "", 1, ""), (None, "some words here", "", 1, ""), (3, "a b c", "", 1, ""), (3, "a b c", "", 1, ""), (4, "idiot scum " * 50_000, "", 1, "")]
     labels = spark.createDataFrame([(1, 0, None), (None, 1, 1), (3, None, 0), (3, 1, 0), (99, 1, 1)], "doc_id long, quality int, toxic int")
     out = weak_labels.classified(spark.createDataFrame(rows, DOCS), labels).collect()
     assert sorted(str(r.doc_id) for r in out) == sorted(str(r[0]) for r in rows) and {r.toxic for r in out} == {1}
