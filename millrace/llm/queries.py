@@ -113,8 +113,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return weak_labels.classified(docs, table(spark, sf_dir, "labels")).drop("text")
+    return weak_labels.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("mark")
 
 
 ORACLES["op6_licenses"] = oracles.license_sql()

@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
+import pandas as pd
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.staging import free_name, stored
+from millrace.llm.staging import opened, shipped, stored
+from millrace.llm.words import NOT_SPACE, WORDLIKE, mixed, slices, span_hashes, spans, word_table
 
 BITS = 16  # of the hashed feature space
-TRAINING_ROWS = 20_000  # bound of the sample of documents that the scorer is fitted on
-MIN_LEXICON_DOCS = 4
+TRAINING_ROWS = 20_000  # bound of the sample of documents that the scorers are fitted on, about
+LABELLED_ROWS = 20_000  # bound of the sample of labelled documents that the lexicon is taken from
 LEXICON_WORDS = 200
-LEXICON_RATIO = 10  # times as frequent in toxic documents as in others
-LEXICON_SHARE = 0.1  # of the toxic documents, at least
-LABELLED_ROWS = 50_000  # bound of the sample of labelled documents that the lexicon is taken from
+LEXICON_DOCS = 4  # toxic documents that a word of the lexicon needs,
+LEXICON_SHARE = 0.1  # the share of them,
+LEXICON_RATIO = 10  # and how many times it is as frequent there as in others
 ROUNDS = 50
 THRESHOLD = 0.5
-WORD = r"[^\x20\x09-\x0D]+"
 
 # Words whose use against people counts as a sign of toxicity, and common words of running text.
 INSULTS = "clown disgusting dumb fool freak garbage idiot imbecile jerk loser moron pathetic scum stupid trash ugly vermin worthless".split()
@@ -31,79 +31,95 @@ RUNNING = ("the of and to in a is that it was for on with as be by at an are or
            "sich mit dem ein es auf de la le et les un du une est pour que dans par au el y los del se las para con no su al").split()
 
 BAD, GOOD, ABSTAIN = 1, 0, -1
+TASKS = {"junk": 5, "toxic": 4}  # labellers of each; the first is the given label
+MARKS = np.ones(256, dtype=bool) & ~WORDLIKE & NOT_SPACE
+SYMBOLS = np.zeros(256, dtype=bool)
+SYMBOLS[list(b"#*$%&|<>^~=@\\{}[]")] = True
 
 
-def _vote(bad: Column, good: Column) -> Column:
-    return F.when(bad, BAD).when(good, GOOD).otherwise(ABSTAIN)
+def _hash_of(words: Sequence[str]) -> np.ndarray:
+    return np.unique(np.concatenate([word_table(w.encode(), WORDLIKE)[2] for w in words])) if words else np.empty(0, dtype=np.uint64)
 
 
-def _with_words(docs: DataFrame) -> DataFrame:
-    text = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.withColumn("_words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
-
-
-def _plain(words: Column) -> Column:
-    """Words without the marks around them, each once."""
-    return F.array_distinct(F.transform(words, lambda w: F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")))
-
-
-@dataclass(frozen=True)
-class Task:
-    """What one scorer is for: ``gold`` is the label column that says so, ``bad`` its value for a bad document."""
-
-    name: str
-    gold: str
-    bad: int
-
-
-JUNK, TOXIC = Task("junk", "quality", 0), Task("toxic", "toxic", 1)
-
-
-def votes(docs: DataFrame, labels: DataFrame, lexicon: Sequence[str]) -> DataFrame:
-    """``docs`` with junk_votes and toxic_votes: arrays of 1 (bad), 0 (good) or -1 (no opinion) by labeller.
-
-    Labels are one labeller among the others, as they may be wrong. Of several labels for a doc_id the worst counts.
-    """
-    worst = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("_q"), F.max("toxic").alias("_t"))
-    rows = docs.join(worst.withColumnRenamed("doc_id", "_d"), F.col("doc_id") == F.col("_d"), "left").drop("_d")
-    n, text = F.size("_words"), F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = rows.withColumns({
-        "_n": n, "_unique": _plain(F.col("_words")),
-        "_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>^~=@\\{}\[\]]|!!")), "_chars": F.char_length(text)})
-    unique, found = F.col("_unique"), lambda words: F.size(F.array_intersect(F.col("_unique"), F.array(*map(F.lit, words))))
-    density, variety = F.col("_symbols") / F.greatest("_n", F.lit(1)), F.size(F.array_distinct("_words")) / F.greatest(n, F.lit(1))
-    running = found(RUNNING)
-    insults = found(INSULTS)
-    learned = found(lexicon) if len(lexicon) else F.lit(0)
-    gold = lambda c, bad: F.when(F.col(c).isNull(), ABSTAIN).when(F.col(c) == bad, BAD).otherwise(GOOD)
-    return rows.withColumns({
-        "junk_votes": F.array(
-            gold("_q", JUNK.bad),
-            _vote((density > 0.25) & (n >= 5), density < 0.05),
-            _vote((running < 3) & (n >= 40), (running >= 6) & (n >= 40)),
-            _vote((variety < 0.25) & (n >= 40), (variety > 0.4) & (n >= 40)),
-            _vote((F.col("_chars") > 12 * n) & (n >= 20), (F.col("_chars") < 9 * n) & (n >= 20))),
-        "toxic_votes": F.array(
-            gold("_t", TOXIC.bad),
-            _vote(insults >= 2, insults == 0),
-            _vote(learned >= 2, learned == 0),
-            _vote(insults >= 1, F.size(unique) >= 1)),
-    }).drop("_q", "_t", "_n", "_unique", "_symbols", "_chars")
-
-
-def toxic_lexicon(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, words: int = LEXICON_WORDS) -> list[str]:
-    """Words far more frequent in documents labelled toxic, from at most ``rows`` labelled documents (by hash of the id).
-
-    A word needs MIN_LEXICON_DOCS toxic documents, a tenth of all, and ten times the share of the others.
+@dataclass
+class Signs:
+    """What the labellers count in one text: its words and marks by hash, each once, and a few sums."""
+
+    words: np.ndarray
+    marks: np.ndarray
+    n: int
+    distinct: int
+    symbols: int
+    n_bytes: int
+
+
+def signs(text: bytes | None) -> Signs:
+    """One text, worked through piece by piece. Words are runs of letters and digits, marks the runs of other characters."""
+    data = (text or b"").lower()  # bytes: only A-Z change
+    words, marks, whole, symbols = [], [], [], 0
+    for _, piece in slices(data):
+        raw = np.frombuffer(piece, dtype=np.uint8)
+        words.append(np.unique(span_hashes(raw, *spans(raw, WORDLIKE))))
+        runs = spans(raw, MARKS)
+        marks.append(np.unique(span_hashes(raw, *runs)))
+        whole.append(span_hashes(raw, *spans(raw, NOT_SPACE)))
+        bangs = (raw[runs[0]] == 0x21) & (runs[1] - runs[0] > 1)  # "!!"
+        symbols += int(SYMBOLS[raw].sum()) + int(bangs.sum())
+    none = np.empty(0, dtype=np.uint64)
+    joined = lambda parts: np.unique(np.concatenate(parts)) if parts else none
+    n = sum(map(len, whole))
+    return Signs(joined(words), joined(marks), n, len(joined(whole)), symbols, len(data))
+
+
+def votes(s: Signs, lexicon: np.ndarray, running: np.ndarray, insults: np.ndarray) -> tuple[int, int]:
+    """The labellers' votes on one text for junk and for toxicity, as codes; the given labels join later.
+
+    A code has a digit for each labeller: 0 no opinion, 1 good, 2 bad.
     """
+    def code(pairs: list[tuple[bool, bool]]) -> int:
+        out = 0
+        for bad, good in pairs:
+            out = out * 3 + (2 if bad else 1 if good else 0)
+        return out
+
+    n = max(s.n, 1)
+    density, variety, length = s.symbols / n, s.distinct / n, s.n_bytes / n
+    common = int(np.isin(running, s.words).sum())
+    rude, learned = int(np.isin(insults, s.words).sum()), int(np.isin(lexicon, s.words).sum())
+    junk = code([
+        (density > 0.25 and s.n >= 5, density < 0.05),
+        (common < 3 and s.n >= 40, common >= 6 and s.n >= 40),
+        (variety < 0.25 and s.n >= 40, variety > 0.4 and s.n >= 40),
+        (length > 13 and s.n >= 20, length < 10 and s.n >= 20)])
+    toxic = code([(rude >= 2, rude == 0), (learned >= 2, learned == 0), (rude >= 1, s.n >= 1)])
+    return junk, toxic
+
+
+def slots(s: Signs, bits: int = BITS) -> np.ndarray:
+    """The text's places in the hashed feature space."""
+    return np.unique(mixed(np.concatenate([s.words, s.marks ^ np.uint64(0x5bd1e995)])) >> np.uint64(64 - bits)).astype(np.int32)
+
+
+def toxic_lexicon(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, words: int = LEXICON_WORDS) -> np.ndarray:
+    """Hashes of the words far more frequent in documents labelled toxic, from at most ``rows`` labels (by hash of the id)."""
     chosen = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    found = _with_words(docs.join(chosen, "doc_id").select("toxic", "text")).select("toxic", F.explode(_plain(F.col("_words"))).alias("word"))
-    counts = found.where("word <> ''").groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    total = chosen.agg(F.sum("toxic").alias("ta"), F.sum(1 - F.col("toxic")).alias("tb"))
-    ratio = (F.col("a") / F.col("ta")) / ((F.col("b") + 0.5) / F.greatest("tb", F.lit(1)))
-    best = counts.where(F.col("a") >= MIN_LEXICON_DOCS).crossJoin(F.broadcast(total)).withColumn("r", ratio).where(f"r > {LEXICON_RATIO} AND a > {LEXICON_SHARE} * ta")
-    return [r.word for r in best.orderBy(F.desc("r"), "word").limit(words).collect()]
+    chosen = stored(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "weak-labelled")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [signs(t).words for t in batch["text"]]
+            yield pd.DataFrame({"word": np.concatenate([np.empty(0, dtype=np.uint64), *found]).view(np.int64),
+                                "toxic": np.repeat(batch["toxic"].to_numpy(dtype=np.int64), [len(x) for x in found])})
+
+    texts = _texts(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")  # at most ``rows`` rows
+    counts = texts.mapInPandas(run, "word long, toxic long").groupBy("word").agg(
+        F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    total = chosen.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
+    if not total[0]:
+        return np.empty(0, dtype=np.uint64)
+    ratio = (F.col("a") / F.lit(total[0])) / ((F.col("b") + 0.5) / F.lit(max(total[1], 1)))
+    best = counts.where((F.col("a") >= LEXICON_DOCS) & (F.col("a") >= LEXICON_SHARE * total[0])).withColumn("r", ratio).where(F.col("r") > LEXICON_RATIO)
+    return np.unique(np.array([r.word for r in best.orderBy(F.desc("r"), "word").limit(words).collect()], dtype=np.int64).view(np.uint64))
 
 
 def fit_accuracies(patterns: Sequence[Sequence[int]], counts: Sequence[int], rounds: int = ROUNDS) -> tuple[np.ndarray, float, np.ndarray]:
@@ -112,7 +128,8 @@ def fit_accuracies(patterns: Sequence[Sequence[int]], counts: Sequence[int], rou
     Labellers err independently given the class; an abstention says nothing. Starts from accuracies of 0.8 and a
     tenth of bad documents; a weak prior keeps estimates within (0, 1).
     """
-    v, n = np.asarray(patterns, dtype=np.int64).reshape(len(counts), -1), np.asarray(counts, dtype=float)
+    n = np.asarray(counts, dtype=float)
+    v = np.asarray(patterns, dtype=np.int64).reshape(len(n), -1 if len(n) else 0)
     k = v.shape[1]
     accuracy, share, post = np.full((k, 2), 0.8), 0.1, np.zeros(len(n))  # columns: class good, class bad
     for _ in range(rounds):
@@ -131,97 +148,145 @@ def fit_accuracies(patterns: Sequence[Sequence[int]], counts: Sequence[int], rou
     return accuracy, float(share), post
 
 
-def posteriors(rows: DataFrame, column: str) -> tuple[DataFrame, np.ndarray]:
-    """(votes, posterior) for each pattern of ``column``, and the accuracies. At most 3**labellers patterns are collected."""
-    counted = rows.groupBy(column).count().collect()
-    counted.sort(key=lambda r: tuple(r[0]))
-    if not counted:
-        return rows.sparkSession.createDataFrame([], f"{column} array<int>, posterior double"), np.empty((0, 2))
-    accuracy, _, post = fit_accuracies([r[0] for r in counted], [r[1] for r in counted])
-    data = [(list(r[0]), float(p)) for r, p in zip(counted, post)]
-    return rows.sparkSession.createDataFrame(data, f"{column} array<int>, posterior double"), accuracy
+def _with_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Puts the given labels before the other votes of ``rows`` (doc_id, junk, toxic codes, small): one more digit.
 
+    Labels are one labeller among the others, as they may be wrong. Of several labels for a doc_id the worst counts.
+    """
+    worst = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_d")).agg(F.min("quality").alias("_q"), F.max("toxic").alias("_t"))
+    digit = lambda c, bad: F.when(F.col(c).isNull(), 0).when(F.col(c) == bad, 2).otherwise(1)
+    joined = rows.join(worst, F.col("doc_id") == F.col("_d"), "left")
+    return joined.withColumns({
+        "junk": F.col("junk") + digit("_q", 0) * 3 ** (TASKS["junk"] - 1),
+        "toxic": F.col("toxic") + digit("_t", 1) * 3 ** (TASKS["toxic"] - 1)}).drop("_d", "_q", "_t")
 
-def _features(rows: DataFrame, bits: int = BITS) -> DataFrame:
-    """Adds _x: hashed words without their outer marks, and the marks at words' ends, once each, scaled to length 1."""
-    tokens = F.concat(_plain(F.col("_words")), F.array_distinct(F.transform("_words", lambda w: F.concat(F.lit("~"), F.regexp_extract(w, r"[^\p{L}\p{N}]*$", 0)))))
-    rows = rows.withColumn("_tokens", tokens)
-    rows = HashingTF(numFeatures=1 << bits, binary=True, inputCol="_tokens", outputCol="_raw").transform(rows)
-    return Normalizer(inputCol="_raw", outputCol="_x").transform(rows).drop("_tokens", "_raw")
+
+def _digits(code: int, n: int) -> list[int]:
+    return [code // 3 ** (n - 1 - j) % 3 - 1 for j in range(n)]
 
 
 @dataclass
 class Classifier:
-    """Fitted scorers; ``None`` where the documents gave only one class."""
+    """Everything that scoring needs, of a size that does not depend on the documents."""
+
+    lexicon: np.ndarray
+    running: np.ndarray
+    insults: np.ndarray
+    bits: int
+    posterior: dict[str, dict[int, float]] = field(default_factory=dict)  # by code, the given label's digit first
+    accuracy: dict[str, np.ndarray] = field(default_factory=dict)
+    weights: dict[str, tuple[np.ndarray, float] | None] = field(default_factory=dict)  # None: only one class was seen
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text and mark: with doc_id it tells rows apart that have the same id but not the same text."""
+    text = F.col("text").cast("binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), mark_of(F.col("text")).alias("mark"))
+
+
+def mark_of(text: Column) -> Column:
+    return F.xxhash64(text.cast("binary"))
 
-    models: dict[str, LogisticRegressionModel | None]
-    accuracies: dict[str, np.ndarray]
-    lexicon: list[str]
 
+def _posterior(column: str, table: dict[int, float]) -> Column:
+    """Looks codes up in at most 3**5 literals."""
+    if not table:
+        return F.lit(0.0)
+    pairs = [x for code, p in sorted(table.items()) for x in (F.lit(code), F.lit(float(p)))]
+    return F.try_element_at(F.create_map(*pairs), F.col(column))
 
-def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS, bits: int = BITS) -> tuple[Classifier, DataFrame]:
-    """The classifier, and the stored votes' posteriors: (_row, junk, toxic) of every document with _row.
 
-    ``docs`` needs a unique column _row. Labellers vote on all documents and their accuracies come from all votes. The
-    scorers are fitted on a sample of at most about ``training_rows`` documents by hash of _row: its posterior
+def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS, bits: int = BITS) -> Classifier:
+    """Labellers vote on all documents, and their accuracies come from the counts of all vote patterns.
+
+    The scorers are fitted on a sample of about ``training_rows`` documents by hash of id and text, whose posterior
     labels count as two weighted rows each.
     """
-    lexicon = toxic_lexicon(docs, labels)
-    voted = votes(_with_words(docs.select("_row", "doc_id", "text")), labels, lexicon)
-    voted = stored(voted.select("_row", "junk_votes", "toxic_votes"), "weak-votes")
-    accuracies = {}
-    for task in (JUNK, TOXIC):
-        table, accuracies[task.name] = posteriors(voted, f"{task.name}_votes")
-        voted = voted.join(F.broadcast(table.withColumnRenamed("posterior", task.name)), f"{task.name}_votes")  # at most 3**5 rows
-    voted = voted.select("_row", "junk", "toxic")
-    n = voted.count()
-    share = min(1.0, training_rows / max(n, 1))
-    chosen = F.pmod(F.xxhash64("_row", F.lit(7)), F.lit(1_000_000)) < int(share * 1_000_000)
-    sample = _features(_with_words(docs.select("_row", "text").where(chosen)), bits).select("_row", "_x").join(voted.where(chosen), "_row")
+    spark = docs.sparkSession
+    fitted = Classifier(toxic_lexicon(docs, labels), _hash_of(RUNNING), _hash_of(INSULTS), bits)
+    sent = shipped(spark, fitted)
+    share = min(1.0, training_rows / max(docs.count(), 1))
+    texts = _texts(docs)
+    chosen = F.pmod(F.xxhash64("doc_id", "mark", F.lit(7)), F.lit(1_000_000)) < int(share * 1_000_000)
+
+    def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c = opened(sent)
+        for batch in batches:
+            rows = []
+            for text, is_chosen in zip(batch["text"], batch["chosen"]):
+                s = signs(text)
+                rows.append((*votes(s, c.lexicon, c.running, c.insults), slots(s, c.bits) if is_chosen else None))
+            out = pd.DataFrame(rows, columns=["junk", "toxic", "slots"])
+            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy(dtype=object))
+            yield out
+
+    voted = texts.withColumn("chosen", chosen).mapInPandas(vote, "doc_id long, junk int, toxic int, slots array<int>")
+    voted = stored(_with_labels(stored(voted, "weak-votes"), labels), "weak-labelled-votes")
+    for task, n in TASKS.items():
+        counted = sorted((r[0], r[1]) for r in voted.groupBy(task).count().collect())  # at most 3**n patterns
+        if counted:
+            accuracy, _, post = fit_accuracies([_digits(code, n) for code, _ in counted], [k for _, k in counted])
+            fitted.accuracy[task], fitted.posterior[task] = accuracy, dict(zip((code for code, _ in counted), post.tolist()))
+    vector = F.udf(lambda at: Vectors.sparse(1 << bits, at, [len(at) ** -0.5] * len(at)), VectorUDT())  # of the bounded sample only
+    sample = voted.where("slots IS NOT NULL").select(
+        vector("slots").alias("x"), *[_posterior(t, fitted.posterior.get(t, {})).alias(t) for t in TASKS])
     sample = sample.repartition(max(1, min(64, -(-training_rows // 2500)))).cache()
-    models = {}
-    for task in (JUNK, TOXIC):
-        p = F.col(task.name)
-        both = sample.select("_x", F.explode(F.array(
-            F.struct(F.lit(1.0).alias("y"), p.alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - p).alias("w")))).alias("l")).select("_x", "l.*").where("w > 0.02")
+    for task in TASKS:
+        p = F.col(task)
+        both = sample.select("x", F.explode(F.array(
+            F.struct(F.lit(1.0).alias("y"), p.alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - p).alias("w")))).alias("l")).select("x", "l.*").where("w > 0.02")
         seen = both.agg(F.min("y"), F.max("y")).first()
-        models[task.name] = None if seen[0] is None or seen[0] == seen[1] else LogisticRegression(
-            featuresCol="_x", labelCol="y", weightCol="w", regParam=1e-4, maxIter=40, standardization=False,
-            probabilityCol=f"_{task.name}", rawPredictionCol="_r", predictionCol="_p").fit(both)
+        fitted.weights[task] = None
+        if seen[0] is not None and seen[0] != seen[1]:
+            model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", regParam=1e-4, maxIter=30, standardization=False).fit(both)
+            fitted.weights[task] = (model.coefficients.toArray(), model.intercept)
     sample.unpersist()
-    return Classifier(models, accuracies, lexicon), voted
-
-
-def score(docs: DataFrame, classifier: Classifier, bits: int = BITS) -> DataFrame:
-    """``docs`` with junk_score and toxic_score: the scorers' probabilities, 0 for a scorer that was not fitted."""
-    columns = docs.columns
-    rows = _features(_with_words(docs), bits).drop("_words")
-    for name, model in classifier.models.items():
-        if model is None:
-            rows = rows.withColumn(f"{name}_score", F.lit(0.0))
-        else:
-            rows = model.transform(rows).withColumn(f"{name}_score", F.get(vector_to_array(F.col(f"_{name}")), F.lit(1))).drop("_r", "_p", f"_{name}")
-    return rows.select(*columns, *[f"{n}_score" for n in classifier.models])
-
-
-def classified(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with junk_score, toxic_score, junk_posterior, toxic_posterior and kept.
+    return fitted
+
+
+def _scorer(sent) -> Callable:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c = opened(sent)
+        for batch in batches:
+            rows = []
+            for text in batch["text"]:
+                s = signs(text)
+                at = slots(s, c.bits)
+                scores = []
+                for task in TASKS:
+                    w = c.weights[task]
+                    z = 0.0 if w is None else w[1] + (w[0][at].sum() / np.sqrt(len(at)) if len(at) else 0.0)
+                    scores.append(0.0 if w is None else float(1 / (1 + np.exp(-np.clip(z, -50, 50)))))
+                rows.append((*votes(s, c.lexicon, c.running, c.insults), *scores))
+            out = pd.DataFrame(rows, columns=["junk", "toxic", "junk_score", "toxic_score"])
+            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy(dtype=object))
+            out.insert(1, "mark", batch["mark"].to_numpy())
+            yield out
+
+    return run
+
+
+def verdicts(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, training_rows: int = TRAINING_ROWS) -> DataFrame:
+    """doc_id, mark, junk_score, toxic_score, junk_posterior, toxic_posterior and kept of every row of ``docs``.
 
     A document goes if the mean of its score and its posterior exceeds ``threshold`` for junk or for toxicity: the
-    scorer generalises beyond the labellers, the posterior holds what they saw in this text. Every row gives one
-    row; null and empty texts have no features and are judged by the bias alone. Null or repeated ids, repeated rows and
-    null labels are allowed; columns of ``docs`` with the added names are replaced.
+    scorer generalises beyond the labellers, the posterior holds what they and the given labels saw. Texts are read twice
+    (votes, scores) and never shuffled; codes and scores are. Every row gives one row; null and empty texts have
+    no features and are judged by the bias and the labels alone. Null or repeated ids, repeated rows and null
+    labels are allowed; rows with the same id share its labels. Other columns are ignored.
     """
-    added = ["junk_score", "toxic_score", "junk_posterior", "toxic_posterior", "kept"]
-    docs = docs.drop(*added)
-    columns, row = docs.columns, free_name(docs, "_row")
-    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "weak-docs")
-    texts = rows.select(F.col(row).alias("_row"), "doc_id", "text")
-    classifier, voted = fit(texts, labels)
-    found = score(texts.select("_row", "text"), classifier).drop("text").join(voted, "_row")
-    mean = lambda t: (F.col(f"{t}_score") + F.col(t)) / 2
-    found = found.withColumn("kept", (mean("junk") <= threshold) & (mean("toxic") <= threshold))
-    found = found.withColumnsRenamed({"junk": "junk_posterior", "toxic": "toxic_posterior"})
-    return rows.join(found.withColumnRenamed("_row", row), row).select(*columns, *added)
-
-
+    fitted = fit(docs, labels, training_rows)
+    scored = _texts(docs).mapInPandas(_scorer(shipped(docs.sparkSession, fitted)),
+                                      "doc_id long, mark long, junk int, toxic int, junk_score double, toxic_score double")
+    rows = _with_labels(stored(scored, "weak-scores"), labels)
+    rows = rows.withColumns({f"{t}_posterior": F.coalesce(_posterior(t, fitted.posterior.get(t, {})), F.lit(0.0)) for t in TASKS})
+    mean = lambda t: (F.col(f"{t}_score") + F.col(f"{t}_posterior")) / 2
+    kept = (mean("junk") <= threshold) & (mean("toxic") <= threshold)
+    return rows.select("doc_id", "mark", "junk_score", "toxic_score", "junk_posterior", "toxic_posterior", kept.alias("kept"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rejected rows; all columns stay as they are."""
+    bad = stored(verdicts(docs, labels, threshold).where("NOT kept").select(F.col("doc_id").alias("_d"), F.col("mark").alias("_m")).distinct(), "weak-rejected")
+    same = docs["doc_id"].cast("long").eqNullSafe(bad["_d"]) & mark_of(docs["text"]).eqNullSafe(bad["_m"])
+    return docs.join(bad, same, "left_anti")

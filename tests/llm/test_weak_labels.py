@@ -25,7 +25,7 @@ def test_accuracies_are_recovered():
 def test_kept_and_rejected_documents(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     insulting = "trash pathetic idiot disgusting worthless stupid clown loser scum moron".split()
-    out = {r.doc_id: r for r in weak_labels.classified(docs, labels).collect()}
+    out = {r.doc_id: r for r in weak_labels.verdicts(docs, labels).collect()}
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     assert set(out) == set(texts)
     words = {i: [w.strip(".,").lower() for w in t.split()] for i, t in texts.items()}
@@ -40,11 +40,14 @@ def test_kept_and_rejected_documents(spark):
 def test_odd_rows(spark):
     rows = [(1, None, "clash", 1, "r"), (2, "", "", 1, ""), (None, "some words here", "", 1, ""), (3, "a b c", "", 1, ""), (3, "a b c", "", 1, ""), (4, "idiot scum " * 50_000, "", 1, "")]
     labels = spark.createDataFrame([(1, 0, None), (None, 1, 1), (3, None, 0), (3, 1, 0), (99, 1, 1)], "doc_id long, quality int, toxic int")
-    out = weak_labels.classified(spark.createDataFrame(rows, DOCS), labels).collect()
-    assert sorted(str(r.doc_id) for r in out) == sorted(str(r[0]) for r in rows) and {r.toxic for r in out} == {1}
+    df = spark.createDataFrame(rows, DOCS)
+    out = weak_labels.verdicts(df, labels).collect()
+    assert sorted(str(r.doc_id) for r in out) == sorted(str(r[0]) for r in rows)
+    kept = weak_labels.keep_good(df, labels)
+    assert kept.schema == df.schema and kept.count() == sum(r.kept for r in out)
     none = spark.createDataFrame([], DOCS)
-    assert weak_labels.classified(none, labels).count() == 0
-    assert weak_labels.classified(spark.createDataFrame(rows, DOCS), labels.limit(0)).count() == len(rows)
+    assert weak_labels.verdicts(none, labels).count() == 0 and weak_labels.keep_good(none, labels).count() == 0
+    assert weak_labels.verdicts(df, labels.limit(0)).count() == len(rows)
 
 
 @pytest.mark.parametrize("counts", [[], [5]])
