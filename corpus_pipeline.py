@@ -14,7 +14,7 @@ from millrace.llm.staging import small_batches, stored, table
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier keeps."""
     small_batches(spark)
-    return weak_labels.classified(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
+    return weak_labels.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
