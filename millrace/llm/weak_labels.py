@@ -227,7 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS,
         if counted:
             accuracy, _, post = fit_accuracies([_digits(code, n) for code, _ in counted], [k for _, k in counted])
             fitted.accuracy[task], fitted.posterior[task] = accuracy, dict(zip((code for code, _ in counted), post.tolist()))
-    vector = F.udf(lambda at: Vectors.sparse(1 << bits, at, [len(at) ** -0.5] * len(at)), VectorUDT())  # of the bounded sample only
+    vector = F.udf(lambda at: Vectors.sparse(1 << bits, at, [max(len(at), 1) ** -0.5] * len(at)), VectorUDT())  # of the bounded sample only
     sample = voted.where("slots IS NOT NULL").select(
         vector("slots").alias("x"), *[_posterior(t, fitted.posterior.get(t, {})).alias(t) for t in TASKS])
     sample = sample.repartition(max(1, min(64, -(-training_rows // 2500)))).cache()
