@@ -87,3 +87,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     AND NOT (enough AND n >= {D.MIN_CHARS_COMPARED} AND coalesce((SELECT distance FROM js WHERE js.rid = e.rid AND kind = 'c') > {D.MAX_CHAR_DISTANCE}, false))
     AND NOT (enough AND n_words >= {D.MIN_WORDS_COMPARED} AND coalesce((SELECT distance FROM js WHERE js.rid = e.rid AND kind = 'w') > {D.MAX_WORD_DISTANCE}, false)) AS kept
 FROM e"""
+
+
+def substring_sql() -> str:
+    return r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS nth FROM x),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS k FROM f WHERE nth > 1),
+a AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d),
+s AS (SELECT a.doc_id, count(*) FILTER (gone.k IS NOT NULL) AS n_removed, string_agg(word, ' ' ORDER BY a.k) FILTER (gone.k IS NULL) AS kept
+    FROM a LEFT JOIN gone ON a.doc_id = gone.doc_id AND a.k = gone.k GROUP BY a.doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)"""
+
+
+def decontamination_sql() -> str:
+    words = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+    return rf"""
+WITH i AS (SELECT *, least(5, len(w)) AS n FROM (SELECT row_number() OVER () AS rid, item_id, {words} AS w FROM benchmark)),
+ig AS (SELECT DISTINCT rid, item_id, n, array_to_string(w[k : k + n - 1], ' ') AS g
+    FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS k FROM i WHERE n > 0)),
+d AS (SELECT row_number() OVER () AS did, doc_id, {words} AS w FROM documents),
+dg AS (SELECT DISTINCT did, doc_id, n, array_to_string(w[k : k + n - 1], ' ') AS g
+    FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM i WHERE n > 0) WHERE len(w) >= n))
+SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_item) AS n_item
+FROM (SELECT *, count(*) OVER (PARTITION BY rid) AS n_item FROM ig) ig JOIN dg USING (n, g)
+GROUP BY did, doc_id, rid, item_id HAVING count(*) >= 0.8 * any_value(n_item) - 1e-9"""

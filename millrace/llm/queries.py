@@ -118,3 +118,5 @@ def op9_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op6_licenses"] = oracles.license_sql()
 ORACLES["op8_divergence"] = oracles.divergence_sql()
+ORACLES["op2_substring"] = oracles.substring_sql()
+ORACLES["op7_decontamination"] = oracles.decontamination_sql()
