@@ -13,12 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.staging import opened, shipped, stored
-from millrace.llm.words import NOT_SPACE, WORDLIKE, mixed, slices, span_hashes, spans, word_table
+from millrace.llm.words import NOT_SPACE, WORDLIKE, hashes_between, mixed, prefix_sums, slices, spans, word_table
 
 BITS = 16  # of the hashed feature space
-TRAINING_ROWS = 20_000  # bound of the sample of documents that the scorers are fitted on, about
+TRAINING_ROWS = 10_000  # bound of the sample of documents that the scorers are fitted on, about
 LABELLED_ROWS = 20_000  # bound of the sample of labelled documents that the lexicon is taken from
 LEXICON_WORDS = 200
+FIT_TASKS = 4  # the sample is small, and every task sends a gradient of all features in each round
 LEXICON_DOCS = 4  # toxic documents that a word of the lexicon needs,
 LEXICON_SHARE = 0.1  # the share of them,
 LEXICON_RATIO = 10  # and how many times it is as frequent there as in others
@@ -59,10 +60,11 @@ def signs(text: bytes | None) -> Signs:
     words, marks, whole, symbols = [], [], [], 0
     for _, piece in slices(data):
         raw = np.frombuffer(piece, dtype=np.uint8)
-        words.append(np.unique(span_hashes(raw, *spans(raw, WORDLIKE))))
+        sums = prefix_sums(raw)
+        words.append(np.unique(hashes_between(sums, *spans(raw, WORDLIKE))))
         runs = spans(raw, MARKS)
-        marks.append(np.unique(span_hashes(raw, *runs)))
-        whole.append(span_hashes(raw, *spans(raw, NOT_SPACE)))
+        marks.append(np.unique(hashes_between(sums, *runs)))
+        whole.append(hashes_between(sums, *spans(raw, NOT_SPACE)))
         bangs = (raw[runs[0]] == 0x21) & (runs[1] - runs[0] > 1)  # "!!"
         symbols += int(SYMBOLS[raw].sum()) + int(bangs.sum())
     none = np.empty(0, dtype=np.uint64)
@@ -105,21 +107,29 @@ def toxic_lexicon(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS,
     chosen = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = stored(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "weak-labelled")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [signs(t).words for t in batch["text"]]
-            yield pd.DataFrame({"word": np.concatenate([np.empty(0, dtype=np.uint64), *found]).view(np.int64),
-                                "toxic": np.repeat(batch["toxic"].to_numpy(dtype=np.int64), [len(x) for x in found])})
-
-    texts = _texts(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")  # at most ``rows`` rows
-    counts = texts.mapInPandas(run, "word long, toxic long").groupBy("word").agg(
-        F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
     total = chosen.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     if not total[0]:
         return np.empty(0, dtype=np.uint64)
-    ratio = (F.col("a") / F.lit(total[0])) / ((F.col("b") + 0.5) / F.lit(max(total[1], 1)))
-    best = counts.where((F.col("a") >= LEXICON_DOCS) & (F.col("a") >= LEXICON_SHARE * total[0])).withColumn("r", ratio).where(F.col("r") > LEXICON_RATIO)
-    return np.unique(np.array([r.word for r in best.orderBy(F.desc("r"), "word").limit(words).collect()], dtype=np.int64).view(np.uint64))
+    rows = _texts(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")  # at most ``rows`` labels
+
+    def counts(texts: DataFrame, among: np.ndarray | None = None) -> DataFrame:
+        """(word, n): documents of ``texts`` that each word, or each word ``among`` some, stands in."""
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                found = np.concatenate([np.empty(0, dtype=np.uint64), *(signs(t).words for t in batch["text"])])
+                word, n = np.unique(found if among is None else found[np.isin(found, among)], return_counts=True)
+                yield pd.DataFrame({"word": word.view(np.int64), "n": n.astype(np.int64)})
+
+        return texts.mapInPandas(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+    # a word in a tenth of the toxic documents: at most ten times the words of a mean document
+    least = max(LEXICON_DOCS, LEXICON_SHARE * total[0])
+    often = {r.word: r.n for r in counts(rows.where("toxic = 1").select("text")).where(F.col("n") >= least).collect()}
+    among = np.array(sorted(often), dtype=np.int64).view(np.uint64)
+    others = {r.word: r.n for r in counts(rows.where("toxic = 0").select("text"), among).collect()}
+    ratio = {w: n / total[0] / ((others.get(w, 0) + 0.5) / max(total[1], 1)) for w, n in often.items()}
+    best = sorted((w for w in often if ratio[w] > LEXICON_RATIO), key=lambda w: (-ratio[w], w))[:words]
+    return np.unique(np.array(best, dtype=np.int64).view(np.uint64))
 
 
 def fit_accuracies(patterns: Sequence[Sequence[int]], counts: Sequence[int], rounds: int = ROUNDS) -> tuple[np.ndarray, float, np.ndarray]:
@@ -230,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS,
     vector = F.udf(lambda at: Vectors.sparse(1 << bits, at, [max(len(at), 1) ** -0.5] * len(at)), VectorUDT())  # of the bounded sample only
     sample = voted.where("slots IS NOT NULL").select(
         vector("slots").alias("x"), *[_posterior(t, fitted.posterior.get(t, {})).alias(t) for t in TASKS])
-    sample = sample.repartition(max(1, min(64, -(-training_rows // 2500)))).cache()
+    sample = sample.coalesce(FIT_TASKS).cache()
     for task in TASKS:
         p = F.col(task)
         both = sample.select("x", F.explode(F.array(

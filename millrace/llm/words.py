@@ -66,16 +66,25 @@ def spans(data: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return edges[::2], edges[1::2]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One 64-bit value for each span; equal bytes give equal values wherever they stand."""
-    if not len(starts):
-        return np.empty(0, dtype=np.uint64)
-    up, down = _power_table(len(data) + 1)
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    up, _ = _power_table(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64, out=sums[1:])
+    return sums
+
+
+def hashes_between(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One 64-bit value for each span; equal bytes give equal values wherever they stand."""
+    _, down = _power_table(len(sums))
     return mixed((sums[ends] - sums[starts]) * down[starts])
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    if not len(starts):
+        return np.empty(0, dtype=np.uint64)
+    return hashes_between(prefix_sums(data), starts, ends)
+
+
 def word_table(data: bytes, member: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and hashes of all words of a text of any length, in pieces of bounded size."""
     parts = []
