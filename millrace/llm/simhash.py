@@ -126,15 +126,16 @@ def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS, hub_rounds:
     if max_bits > 4:
         raise ValueError("the three grids are laid out for at most 4 bits")
     reps = stored(fps.select("fp").distinct().withColumn("t", thermometer(F.col("fp"))), "simhash-reps")
-    labels = reps.withColumn("label", F.col("fp"))
+    single = reps.withColumn("label", F.col("fp"))
     edges = None
     for seed in range(hub_rounds):
-        home = _cells(labels, probe=False)
+        home = _cells(single, probe=False)
         hub = home.groupBy("cell").agg(
             F.min_by(F.struct("fp", "t", "label"), F.xxhash64("fp", F.lit(seed))).alias("hub")).select("cell", "hub.*")
-        found = stored(_edges(hub, _cells(labels, probe=True), max_bits, different=True), "simhash-hubs")
+        found = _edges(hub, _cells(single, probe=True), max_bits, different=True)
         edges = found if edges is None else edges.unionAll(found)
-        labels = _labelled(reps, edges)
+    edges = stored(edges.distinct(), "simhash-hubs")
+    labels = _labelled(reps, edges)
     home, probes = _cells(labels, probe=False), _cells(labels, probe=True)
     # cells whose rows all have one component need no comparison; in the others the largest is set apart
     seen = probes.groupBy("cell", "label").agg(F.count("*").alias("n"))
