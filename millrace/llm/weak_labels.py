@@ -68,9 +68,15 @@ def signs(text: bytes | None) -> Signs:
         bangs = (raw[runs[0]] == 0x21) & (runs[1] - runs[0] > 1)  # "!!"
         symbols += int(SYMBOLS[raw].sum()) + int(bangs.sum())
     none = np.empty(0, dtype=np.uint64)
-    joined = lambda parts: np.unique(np.concatenate(parts)) if parts else none
+    joined = lambda parts: np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0] if parts else none
     n = sum(map(len, whole))
-    return Signs(joined(words), joined(marks), n, len(joined(whole)), symbols, len(data))
+    distinct = len(np.unique(np.concatenate(whole))) if whole else 0
+    return Signs(joined(words), joined(marks), n, distinct, symbols, len(data))
+
+
+def _shared(few: np.ndarray, words: np.ndarray) -> int:
+    """How many of ``few`` are in the sorted ``words``."""
+    return int((words[np.minimum(np.searchsorted(words, few), len(words) - 1)] == few).sum()) if len(words) else 0
 
 
 def votes(s: Signs, lexicon: np.ndarray, running: np.ndarray, insults: np.ndarray) -> tuple[int, int]:
@@ -86,8 +92,7 @@ def votes(s: Signs, lexicon: np.ndarray, running: np.ndarray, insults: np.ndarra
 
     n = max(s.n, 1)
     density, variety, length = s.symbols / n, s.distinct / n, s.n_bytes / n
-    common = int(np.isin(running, s.words).sum())
-    rude, learned = int(np.isin(insults, s.words).sum()), int(np.isin(lexicon, s.words).sum())
+    common, rude, learned = (_shared(x, s.words) for x in (running, insults, lexicon))
     junk = code([
         (density > 0.25 and s.n >= 5, density < 0.05),
         (common < 3 and s.n >= 40, common >= 6 and s.n >= 40),
