@@ -19,7 +19,8 @@ BITS = 16  # of the hashed feature space
 TRAINING_ROWS = 10_000  # bound of the sample of documents that the scorers are fitted on, about
 LABELLED_ROWS = 20_000  # bound of the sample of labelled documents that the lexicon is taken from
 LEXICON_WORDS = 200
-FIT_TASKS = 4  # the sample is small, and every task sends a gradient of all features in each round
+FIT_ROUNDS = 15
+FIT_TASKS = 2  # the sample is small, and every task sends the driver a gradient of all features in each round
 LEXICON_DOCS = 4  # toxic documents that a word of the lexicon needs,
 LEXICON_SHARE = 0.1  # the share of them,
 LEXICON_RATIO = 10  # and how many times it is as frequent there as in others
@@ -253,7 +254,7 @@ def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS,
         seen = both.agg(F.min("y"), F.max("y")).first()
         fitted.weights[task] = None
         if seen[0] is not None and seen[0] != seen[1]:
-            model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", regParam=1e-4, maxIter=30, standardization=False).fit(both)
+            model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", regParam=1e-4, maxIter=FIT_ROUNDS, standardization=False).fit(both)
             fitted.weights[task] = (model.coefficients.toArray(), model.intercept)
     sample.unpersist()
     return fitted
