@@ -27,6 +27,8 @@ COMMON_WORDS = {
     "fr": "de la le et les des en un du une est pour que dans par au sur pas qui il avec".split(),
     "es": "de la que el en y a los del se las por un para con no una su al es lo".split(),
 }
+#: resolution of the typical shares
+SHARE_BINS = 2000
 CHAR_CLASSES = ("lower", "upper", "digit", "space", "other_ascii", "beyond_ascii")
 
 
@@ -105,30 +107,61 @@ def language_references(rows: DataFrame) -> DataFrame:
     return out.select("lang", "ref_words", "ref_chars", F.when(F.col("_k") > 0, F.slice("_common", F.lit(1), F.greatest(F.col("_k"), F.lit(1)))).alias("ref_common"))
 
 
-def judged(docs: DataFrame) -> DataFrame:
+def typical_histograms(rows: DataFrame) -> DataFrame:
+    """(lang, usual_chars, usual_common): what is usual for a document of each language, however many rows a source has.
+
+    Of each share the median over a source's documents, and of those the median over the language's sources, so a
+    source counts once and a kind of junk only where it is more than half of most sources. Only texts long enough
+    to be compared count. Medians are exact on shares in steps of 1 / SHARE_BINS: at most SHARE_BINS + 1 counts each.
+    """
+    n_chars = F.aggregate("chars", F.lit(0).cast("long"), lambda a, x: a + x)
+    none = F.array().cast("array<double>")
+    shares = lambda name, enough: F.when(enough, F.coalesce(_shares(F.col(name)), none)).otherwise(none)
+    parts = [("chars", n_chars >= MIN_CHARS_COMPARED), ("common", F.col("n_words") >= MIN_WORDS_COMPARED)]
+    step = lambda name: lambda x, i: F.struct(F.lit(name).alias("part"), i.alias("k"), F.floor(x * SHARE_BINS).alias("step"))
+    steps = F.concat(*[F.transform(shares(name, enough), step(name)) for name, enough in parts])
+    found = rows.select("lang", "source", F.explode(steps).alias("s")).select("lang", "source", "s.*")
+    found = found.groupBy("lang", "source", "part", "k", "step").agg(F.count("*").alias("n"))
+    found = found.groupBy("lang", "source", "part", "k").agg(F.percentile("step", F.lit(0.5), F.col("n")).alias("m"))
+    # quarters of a step, as a median of medians may lie between two
+    found = found.groupBy("lang", "part", "k").agg((F.percentile("m", F.lit(0.5)) * 4).cast("long").alias("m"))
+    usual = lambda name: F.transform(F.array_sort(F.collect_list(F.when(F.col("part") == name, F.struct("k", "m")))), lambda x: x["m"])
+    return found.groupBy("lang").agg(usual("chars").alias("usual_chars"), usual("common").alias("usual_common"))
+
+
+def judged(docs: DataFrame, typical: bool = False) -> DataFrame:
     """Every row's doc_id, base columns (n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed),
     char_distance, word_distance and kept.
 
     Texts are compared with their language's references: the histograms of character classes and of the language's
-    common words, summed over all documents of that ``lang``. kept is false if base_failed, or if a
-    text that is long enough lies farther from a large enough reference than the allowed Jensen-Shannon
-    distance. A distance is null where the text or the reference is too small, and the word distance for languages
+    common words. char_distance and word_distance are to the sums over all documents of that ``lang``. kept goes by
+    these, or with ``typical`` by the distances to ``typical_histograms``, which a hot source cannot move. It is false
+    if base_failed, or if a text that is long enough lies farther off than the allowed Jensen-Shannon
+    distance, in a language of enough words. A distance is null where the text or the reference is too small, and the word distance for languages
     without a list; null counts as near. A null text has no words, so it fails; a null lang is a language of its own.
-    Repeated rows are judged alike; columns other than doc_id, text and lang are ignored. The rows move to the
+    Repeated rows are judged alike; columns other than doc_id, text, lang and source (if there is one) are ignored. The rows move to the
     references only as counts: one row for each language is joined back.
     """
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"),
+                       (F.col("source") if "source" in docs.columns else F.lit(None)).cast("string").alias("source"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    rows = stored(_with_statistics(rows).select("doc_id", "lang", *base, "chars", "common"), "divergence-statistics")
-    refs = language_references(rows).withColumnRenamed("lang", "_lang")
+    rows = stored(_with_statistics(rows).select("doc_id", "lang", "source", *base, "chars", "common"), "divergence-statistics")
+    refs = language_references(rows)
+    if not typical:
+        refs = refs.withColumns({"usual_chars": F.col("ref_chars"), "usual_common": F.col("ref_common")})
+    else:
+        usual = typical_histograms(rows).withColumnRenamed("lang", "_lang")
+        refs = refs.join(usual, F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang")
+    refs = refs.withColumnRenamed("lang", "_lang")
     rows = rows.join(refs, F.col("lang").eqNullSafe(F.col("_lang")), "left")
     enough = F.col("ref_words") >= MIN_REFERENCE_WORDS
     n_chars = F.aggregate("chars", F.lit(0).cast("long"), lambda a, x: a + x)
+    compared = {"char": enough & (n_chars >= MIN_CHARS_COMPARED), "word": enough & (F.col("n_words") >= MIN_WORDS_COMPARED) & F.col("common").isNotNull()}
+    distance = lambda kind, own, ref: F.when(compared[kind] & (F.size(ref) > 0), jensen_shannon(_shares(F.col(own)), _shares(F.col(ref))))
     rows = rows.withColumns({
-        "char_distance": F.when(enough & (n_chars >= MIN_CHARS_COMPARED), jensen_shannon(_shares(F.col("chars")), _shares(F.col("ref_chars")))),
-        "word_distance": F.when(enough & (F.col("n_words") >= MIN_WORDS_COMPARED) & F.col("common").isNotNull(),
-                                jensen_shannon(_shares(F.col("common")), _shares(F.col("ref_common")))),
+        "char_distance": distance("char", "chars", "ref_chars"), "word_distance": distance("word", "common", "ref_common"),
+        "_char_off": distance("char", "chars", "usual_chars"), "_word_off": distance("word", "common", "usual_common"),
         "base_failed": (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT),
     })
-    far = F.coalesce(F.col("char_distance") > MAX_CHAR_DISTANCE, F.lit(False)) | F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False))
+    far = F.coalesce(F.col("_char_off") > MAX_CHAR_DISTANCE, F.lit(False)) | F.coalesce(F.col("_word_off") > MAX_WORD_DISTANCE, F.lit(False))
     return rows.select("doc_id", *base, "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "char_distance", "word_distance")

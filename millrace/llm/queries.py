@@ -103,7 +103,7 @@ def op5_separators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return divergence.judged(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
+    return divergence.judged(table(spark, sf_dir, "documents"), typical=True).drop("char_distance", "word_distance")
 
 
 @query

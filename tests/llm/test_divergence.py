@@ -81,3 +81,18 @@ def test_equals_plain_python(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
     assert any(x[7] for x in got) and any(not x[6] and not x[7] for x in got)
     assert divergence.judged(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_third_of_junk_is_rejected(spark):
+    """One source of symbol-decorated texts, longer than the others, holds a third of the rows and most of one language's."""
+    rng = random.Random(4)
+    word = lambda lang: rng.choice(divergence.COMMON_WORDS[lang]) if rng.random() < 0.3 else "".join(rng.choice("abcdefghilnorst") for _ in range(rng.randrange(2, 9)))
+    rows = []
+    for i in range(240):
+        lang = ["en", "de"][i % 2]
+        rows.append((i, " ".join(word(lang).capitalize() if rng.random() < 0.1 else word(lang) for _ in range(120)), lang, f"src{i % 6}"))
+    for i in range(240, 360):
+        rows.append((i, " ".join(word("en") + rng.choice(["###", "$$$", "%%%"]) for _ in range(400)), "en", "hot"))
+    out = divergence.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5), typical=True).collect()
+    assert len(out) == 360 and not any(r.base_failed for r in out)
+    assert sorted(r.doc_id for r in out if r.kept) == list(range(240))
