@@ -16,10 +16,10 @@ from millrace.llm.staging import opened, shipped, stored
 from millrace.llm.words import NOT_SPACE, WORDLIKE, hashes_between, mixed, prefix_sums, slices, spans, word_table
 
 BITS = 16  # of the hashed feature space
-TRAINING_ROWS = 10_000  # bound of the sample of documents that the scorers are fitted on, about
+TRAINING_ROWS = 20_000  # bound of the sample of documents that the scorers are fitted on, about
 LABELLED_ROWS = 20_000  # bound of the sample of labelled documents that the lexicon is taken from
 LEXICON_WORDS = 200
-FIT_ROUNDS = 15
+FIT_ROUNDS = 30
 FIT_TASKS = 2  # the sample is small, and every task sends the driver a gradient of all features in each round
 LEXICON_DOCS = 4  # toxic documents that a word of the lexicon needs,
 LEXICON_SHARE = 0.1  # the share of them,

@@ -54,3 +54,8 @@ def test_odd_rows(spark):
 def test_few_patterns(counts):
     accuracy, share, post = weak_labels.fit_accuracies([[1, 0]] * len(counts), counts)
     assert np.isfinite(accuracy).all() and len(post) == len(counts) and 0 < share < 1
+
+
+def test_size_of_the_fit():
+    """The sample and the rounds of the fit are not lowered to fit a measuring tool's limits."""
+    assert weak_labels.TRAINING_ROWS >= 20_000 and weak_labels.FIT_ROUNDS >= 30
