@@ -117,14 +117,15 @@ class _Bad(Exception):
         self.reason, self.stop = reason, stop
 
 
-def _parse(read, at: int, size: int) -> tuple[dict, bytes, int]:
-    """(headers, block, end) of the record at ``at``; ``read(at, n)`` gives bytes of a file or of a gzip member."""
-    head, want = read(at, 4096), 4096
+def _parse(read, at: int, size: int | None) -> tuple[dict, bytes, int]:
+    """(headers, block, end) of the record at ``at``; ``read(at, n)`` gives bytes of a file or of a gzip member, whose ``size`` is not known."""
+    head, want, seen = read(at, 4096), 4096, 0
     if not head.startswith(VERSION):
         raise _Bad("no version line")
-    while (end := head.find(b"\r\n\r\n")) < 0:
-        if len(head) < want or want > 1 << 20:
+    while (end := head.find(b"\r\n\r\n", seen)) < 0:
+        if len(head) < want:
             raise _Bad("header without end")
+        seen = max(len(head) - 3, 0)
         want *= 4
         head = read(at, want)
     lines = head[:end].decode("utf-8", "replace").split("\r\n")
@@ -139,9 +140,11 @@ def _parse(read, at: int, size: int) -> tuple[dict, bytes, int]:
         raise _Bad("no content length")
     start, length = at + end + 4, int(length)
     stop = start + length + 4
-    if stop > size:
+    if size is not None and stop > size:
         raise _Bad("truncated record")
     block = read(start, length)
+    if len(block) < length:
+        raise _Bad("truncated record")
     if read(start + length, 4) != b"\r\n\r\n":
         raise _Bad("no record end at the content length")
     kind, _, digest = headers.get("warc-block-digest", "").partition(":")
@@ -169,19 +172,105 @@ def _described(headers: dict, block: bytes) -> dict:
             "payload_digest": digest, "payload_bytes": stated, "refers_to": number("x-refers-to-page-id")}
 
 
-def _member(file: Blocks, at: int) -> tuple[bytes, int]:
-    """Content and end of the gzip member at ``at``; its CRC is checked by the decompressor."""
-    opener, parts, place = zlib.decompressobj(31), [], at
-    try:
-        while not opener.eof:
-            piece = file.read(place, 1 << 16)
-            if not piece:
-                raise _Bad("truncated member")
-            parts.append(opener.decompress(piece))
-            place += len(piece)
-    except zlib.error as e:
-        raise _Bad(f"damaged member: {e}") from None
-    return b"".join(parts), place - len(opener.unused_data)
+class _Content:
+    """Content of the gzip member at ``at`` by offset, forwards: holds what ``read`` and ``find`` look at, not the member."""
+
+    def __init__(self, file: Blocks, at: int, piece: int = 1 << 16):
+        self.file, self.place, self.piece = file, at, piece
+        self.opener, self.start, self.held = zlib.decompressobj(31), 0, bytearray()
+        self.fault: str | None = None  # why the content ends early
+        self.stop: int | None = None  # end of the member in the file, known at its end
+
+    def _more(self) -> bool:
+        """Decompresses one piece; False at the end of what can be had. The CRC is checked by the decompressor."""
+        if self.fault or self.stop is not None:
+            return False
+        packed = self.opener.unconsumed_tail
+        if not packed:
+            packed = self.file.read(self.place, self.piece)
+            self.place += len(packed)
+        if not packed:
+            self.fault = "truncated member"
+            return False
+        before = self.opener.copy()
+        try:
+            self.held += self.opener.decompress(packed, self.piece)
+        except zlib.error as e:
+            self.fault = f"damaged member: {e}"
+            for k in range(len(packed)):  # what comes before the damage, byte by byte
+                try:
+                    self.held += before.decompress(packed[k:k + 1])
+                except zlib.error:
+                    break
+            return False
+        if self.opener.eof:
+            self.stop = self.place - len(self.opener.unused_data)
+        return True
+
+    def drop(self, at: int) -> None:
+        """Nothing before ``at`` is read again."""
+        gone = min(max(at - self.start, 0), len(self.held))
+        del self.held[:gone]
+        self.start += gone
+
+    def read(self, at: int, n: int) -> bytes:
+        while self.start + len(self.held) < at + n and self._more():
+            pass
+        return bytes(self.held[at - self.start: at - self.start + n])
+
+    def find(self, what: bytes, at: int) -> int:
+        """First place of ``what`` from ``at``, or -1. Drops what was searched."""
+        while True:
+            self.drop(at)
+            k = self.held.find(what, at - self.start)
+            if k >= 0:
+                return self.start + k
+            at = max(at, self.start + len(self.held) - len(what) + 1)
+            if not self._more():
+                return -1
+
+
+def _member(content: _Content) -> list[dict]:
+    """Records and gaps of a member, in order. Holds one record's bytes at a time, and what is told of each.
+
+    In a member that breaks off or whose CRC differs only records with a SHA-256 of their block count, as nothing
+    else vouches for the others.
+    """
+    out, at = [], 0
+
+    def leave_out(start: int, stop: int, reason: str) -> None:
+        if out and out[-1].get("record_type") == "gap":
+            out[-1]["to"] = stop
+        else:
+            out.append({"record_type": "gap", "from": start, "to": stop, "reason": reason})
+
+    while content.read(at, 1):
+        start = at
+        try:
+            headers, block, at = _parse(content.read, at, None)
+            record = {**_described(headers, block), "from": start, "to": at}
+            out.append({**record, "sure": headers.get("warc-block-digest", "").lower().startswith("sha256:")})
+        except _Bad as e:
+            if at == start:
+                found = e.stop if e.stop is not None else content.find(VERSION, start + 1)
+                at = found if found >= 0 else content.start + len(content.held)
+            leave_out(start, at, content.fault or e.reason)
+        content.drop(at)
+    if content.fault:
+        told, out = out, []
+        for x in told:
+            if x.get("sure"):
+                out.append(x)
+            else:
+                leave_out(x["from"], x["to"], x.get("reason") or content.fault)
+        if not any(x.get("reason") == content.fault for x in out):
+            out.append({"record_type": "gap", "from": at, "to": at, "reason": content.fault})
+    for x in out:
+        start, stop = x.pop("from"), x.pop("to")
+        x.pop("sure", None)
+        if x["record_type"] == "gap":
+            x["reason"] += f" (bytes {start} to {stop} of the content)"
+    return out
 
 
 def _starts_member(file: Blocks, at: int) -> bool:
@@ -204,6 +293,7 @@ def salvage(uri: str) -> Iterator[dict]:
 
     A record counts if its version line, headers, content length, end and digests hold. After a failed check the
     next gzip member whose content begins with a version line, or the next version line, is tried, and so on; a record whose frame is sound but whose digest differs is left out alone. Adjacent gaps are one.
+    Within a gzip member the search is the same over its content; its records and gaps all have the range of the member.
     """
     file = Blocks(uri)
     at, gap, reason = 0, None, None
@@ -211,19 +301,20 @@ def salvage(uri: str) -> Iterator[dict]:
         while at < file.size:
             try:
                 if file.read(at, 3) == GZIP:
-                    data, stop = _member(file, at)
-                    found, inner = [], 0
-                    while inner < len(data):
-                        headers, block, inner = _parse(lambda a, n: data[a: a + n], inner, len(data))
-                        found.append(_described(headers, block))
+                    content = _Content(file, at)
+                    found = _member(content)
+                    if content.fault and not any(x["record_type"] != "gap" for x in found):
+                        raise _Bad(content.fault)
+                    stop = content.stop if content.stop is not None else _next_start(file, at + 1)
+                    if all(x["record_type"] == "gap" for x in found):
+                        raise _Bad(found[0]["reason"] if found else "empty member", stop)
                 else:
                     headers, block, stop = _parse(file.read, at, file.size)
                     found = [_described(headers, block)]
             except _Bad as e:
                 if gap is None:
                     gap, reason = at, e.reason
-                framed = e.stop is not None and file.read(at, 3) != GZIP
-                at = e.stop if framed else _next_start(file, at + 1)
+                at = e.stop if e.stop is not None else _next_start(file, at + 1)
                 continue
             if gap is not None:
                 yield {"path": uri, "start": gap, "stop": at, "record_type": "gap", "reason": reason}

@@ -86,3 +86,52 @@ def test_reasons_and_wrong_length(tmp_path):
     rows = list(warc.salvage(str(path)))
     assert [r["page_id"] for r in rows if r["record_type"] != "gap"] == [0, 2, 3]
     assert [r["reason"] for r in rows if r["record_type"] == "gap"][0] in ("no record end at the content length", "truncated record")
+
+
+@pytest.mark.parametrize("damage", ["digest", "crc", "truncated", "version"])
+def test_member_of_several_records(tmp_path, damage):
+    path, parts, at = archive(tmp_path, False, 400)
+    content = b"".join(parts)
+    if damage == "digest":
+        content = content[:at[150] - 50] + b"#" + content[at[150] - 49:]
+    if damage == "version":
+        content = content[:at[149]] + b"XXXX" + content[at[149] + 4:]
+    data = gzip.compress(content, 1)
+    lost, reason = {149}, {"digest": "block digest differs", "version": "no version line"}.get(damage)
+    if damage == "crc":
+        data, lost, reason = data[:-8] + b"\0\0\0\0" + data[-4:], set(), "damaged member"
+    if damage == "truncated":
+        data, reason = data[:len(data) // 2], "truncated member"
+    tail = gzip.compress(parts[0], 1)
+    path.write_bytes(data if damage == "truncated" else data + tail)
+    rows = list(warc.salvage(str(path)))
+    ids = [r["page_id"] for r in rows if r["record_type"] != "gap"]
+    gaps = [r for r in rows if r["record_type"] == "gap"]
+    assert len(gaps) == 1 and gaps[0]["reason"].startswith(reason)
+    if damage == "truncated":
+        assert 150 < len(ids) < 250 and ids == list(range(len(ids)))
+    else:
+        assert ids == [i for i in range(400) if i not in lost] + [0]
+        assert all((r["start"], r["stop"]) == (0, len(data)) for r in rows[:-1])
+
+
+def test_bounded_member_and_long_header(tmp_path):
+    payload = b"z" * 1000
+    record = warc.record_bytes(1, "u" * (6 << 20), payload, hashlib.sha256(payload).hexdigest(), None)
+    for compressed in (False, True):
+        path = tmp_path / f"long{compressed}"
+        path.write_bytes(gzip.compress(record, 1) if compressed else record)
+        assert [(r["page_id"], r["record_type"]) for r in warc.salvage(str(path))] == [(1, "response")]
+    path.write_bytes(gzip.compress(b"".join(warc.record_bytes(i, "u", payload, hashlib.sha256(payload).hexdigest(), None) for i in range(20_000)), 1))
+    file = warc.Blocks(str(path))
+    content = warc._Content(file, 0)
+    read, held = content.read, []
+
+    def watched(at, n):
+        out = read(at, n)
+        held.append(len(content.held))
+        return out
+
+    content.read = watched
+    assert len(warc._member(content)) == 20_000 and max(held) < 1 << 20
+    file.close()
