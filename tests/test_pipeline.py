@@ -159,3 +159,9 @@ def test_fact_keeps_missing_models_and_equals_the_joined_form(spark):
     assert sorted(map(str, plain.collect())) == sorted(map(str, joined.collect()))
     assert sorted((r["time_in_cycles"], r["status_id"]) for r in plain.collect()) == [(3, 1), (4, None)]
     assert "Join" not in plain._jdf.queryExecution().executedPlan().toString()
+
+
+def test_training_queries_fit_the_full_size():
+    from millrace.catalog import learning
+
+    assert learning.PARAMS == config.BoostingParams()
