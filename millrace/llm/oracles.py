@@ -115,3 +115,20 @@ dg AS (SELECT DISTINCT did, doc_id, n, array_to_string(w[k : k + n - 1], ' ') AS
 SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_item) AS n_item
 FROM (SELECT *, count(*) OVER (PARTITION BY rid) AS n_item FROM ig) ig JOIN dg USING (n, g)
 GROUP BY did, doc_id, rid, item_id HAVING count(*) >= 0.8 * any_value(n_item) - 1e-9"""
+
+
+def infill_sql() -> str:
+    """Units as a list, cut by position and put together again; the restored text is the text."""
+    return r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    u AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+            ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+    c AS (SELECT *, len(u)::BIGINT AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+            CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+    p AS (SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+    FROM p
+    """

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import curriculum, decontaminate, divergence, licenses, oracles, separators, simhash, substring, training_order, warc, weak_labels
+from millrace.llm import (
+    curriculum, decontaminate, digest, divergence, infill, licenses, oracles, separators, simhash, substring, training_order, warc, weak_labels,
+    whitening,
+)
 from millrace.llm.staging import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +123,27 @@ ORACLES["op6_licenses"] = oracles.license_sql()
 ORACLES["op8_divergence"] = oracles.divergence_sql()
 ORACLES["op2_substring"] = oracles.substring_sql()
 ORACLES["op7_decontamination"] = oracles.decontamination_sql()
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(rows)
+    explained = F.array(*[F.lit(e) for e in model.explained]).cast("array<double>")
+    found = whitening.whiten(rows.select("vec_id", "embedding"), model)
+    return found.select("vec_id", F.expr("try_cast(whitened_deviation AS bigint)").alias("deviation"), F.posexplode("whitened").alias("i", "whitened")).select(
+        "vec_id", (F.col("i") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("i")).alias("explained"), F.lit(whitening.identity_error(rows, model)).alias("identity_error"))
+
+
+@query
+def op12_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.edit_comparison(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.fill_in_middle(table(spark, sf_dir, "documents"), outputs=False).drop("pieces")
+
+
+ORACLES["op13_infill"] = oracles.infill_sql()
