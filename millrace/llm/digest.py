@@ -24,7 +24,7 @@ FILTER_BITS = 2048
 HASHES = 5
 FEATURES = 160  # of one filter; more go to the next
 SLICE = 1 << 20  # bytes searched at once
-PART_BYTES, LEAST_BYTES = 32 << 20, 1 << 20  # text of a task, and what is not divided further
+PART_BYTES, LEAST_BYTES = 8 << 20, 1 << 20  # text of a task, and what is not divided further
 MAX_PARTS = 100_000
 CHANCE = 3.0  # standard deviations of overlap that count as chance
 
