@@ -1,4 +1,4 @@
 """All named queries; importing the modules registers them."""
 
-from millrace.catalog import drift, features, ingest, learning, star, streams  # noqa: F401
+from millrace.catalog import drift, features, incremental, ingest, learning, slices, star, streams  # noqa: F401
 from millrace.catalog.registry import ORACLES, QUERIES  # noqa: F401

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from millrace.catalog import tables as t
 from millrace.catalog.registry import query
 from millrace.operators import drift
+from millrace.session import scratch_path
+from millrace.sinks.tables import overwrite, write_partitioned
+from millrace.sources.files import read_table
 
 FEATURES = ["unit_number", "time_in_cycles", *t.EVENT_METRICS]
 LINE_FEATURES = ["l_suppkey", *t.LINE_SENSORS]
@@ -88,3 +91,21 @@ SELECT number_of_drifted_columns / {len(FEATURES)}.0 >= 0.20 AS dataset_drift,
 def drift_report(spark: SparkSession, d: str) -> DataFrame:
     fact, _ = drift.drift_report(*_halves(spark, d), FEATURES)
     return t.rounded(fact.drop("date_id"), ["share_of_drifted_columns"], 6)
+
+
+RANGE = ("2024-01-18", "2024-01-24")
+
+
+@query("drift_over_range", oracle=f"""
+WITH {t.wide_sql()}, sides AS (SELECT *, w < TIMESTAMP '2024-01-16' AS is_ref FROM wide
+  WHERE w < TIMESTAMP '2024-01-16' OR CAST(w AS DATE) BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'),
+{tests_sql('sides', FEATURES)}
+SELECT feature, n_ref, n_cur, round(d, 6) AS d, round(p_value, 6) AS p_value FROM tests""")
+def drift_over_range(spark: SparkSession, d: str) -> DataFrame:
+    """Value counts are stored once per day; a range of days is tested from those and the reference's counts alone."""
+    counts, reference = scratch_path(spark, "day-counts"), scratch_path(spark, "reference-counts")
+    ref, cur = _halves(spark, d)
+    write_partitioned(drift.value_counts(cur, FEATURES, ["date"]), counts)
+    overwrite(drift.value_counts(ref, FEATURES), reference)
+    tests = drift.ks_of_counts(spark.read.parquet(reference), read_table(spark, counts, RANGE))
+    return t.rounded(tests, ["d", "p_value"], 6)

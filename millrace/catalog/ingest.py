@@ -14,6 +14,7 @@ from millrace.plans.silver import SILVER_KEY, run_silver, silver_features, touch
 from millrace.session import scratch_path
 from millrace.sinks import tables as sinks
 from millrace.sources import files
+from millrace.sources.payloads import unpivot_payloads
 
 M = t.EVENT_METRICS
 MEANS = ", ".join(M)
@@ -329,6 +330,55 @@ def test_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return t.rounded(files.read_test_csv(spark, path, M), M)
 
 
+@query("csv_unlike_headers", oracle=f"""
+WITH {t.wide_sql()}
+SELECT unit_number, time_in_cycles, {t.rounded_sql(M)}, CAST(time_in_cycles AS DOUBLE) AS RUL, engine_model FROM wide""")
+def csv_unlike_headers(spark: SparkSession, d: str) -> DataFrame:
+    """A folder of files whose columns come in different orders, with different extra ones."""
+    path = scratch_path(spark, "unlike-csv")
+    rows = t.training_rows(spark, d).withColumn("RUL", F.col("time_in_cycles").cast("double"))
+    names = files.training_schema(M).names
+    for i, columns in enumerate((names, [*reversed(names), "window_start"], ["date", *sorted(names)])):
+        rows.filter(F.pmod("time_in_cycles", F.lit(3)) == i).select(*columns).write.mode("append").csv(path, sep=";", header=True)
+    return t.rounded(files.read_training_csv(spark, path, M), M)
+
+
+SHAPES = 6  # long, wide, nested, in an array with another, a number as text, a word
+
+
+@query("payload_shapes", oracle=f"""
+WITH e AS (SELECT event_id % {SHAPES} AS shape, 'unit_' || user_id AS sensor_id, event_type AS metric, value FROM events)
+SELECT 'reading' AS kind, sensor_id, metric, value FROM e WHERE shape < 5
+UNION ALL SELECT 'reading', sensor_id, 'extra', value + 1 FROM e WHERE shape IN (1, 2, 3)
+UNION ALL SELECT 'no number', sensor_id, metric, NULL FROM e WHERE shape = 5
+UNION ALL SELECT 'no value', sensor_id, 'extra', NULL FROM e WHERE shape = 4
+UNION ALL SELECT 'no readings', sensor_id, NULL, NULL FROM e WHERE shape = 0
+UNION ALL SELECT 'no object', NULL, NULL, NULL FROM nation
+UNION ALL SELECT 'no json', NULL, NULL, NULL FROM region""")
+def payload_shapes(spark: SparkSession, d: str) -> DataFrame:
+    """Messages of mixed shapes, unpivoted without a list of metrics; whatever is no reading is in quarantine with its reason."""
+    e = t.table(spark, d, "events").withColumn("shape", F.pmod("event_id", F.lit(SHAPES)))
+    sensor, kind, value = C.sensor_id_of("user_id"), F.col("event_type"), F.col("value")
+    quoted = lambda c: F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
+    joined = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    head = joined('{"sensor_id": ', quoted(sensor), ', "time_in_cycles": 1, "event_time": "2024-01-01 00:00:00"')
+    wide = joined(head, ", ", quoted(kind), ": ", value, ', "extra": ', value + 1, "}")
+    long = joined(head, ', "metric": ', quoted(kind), ', "value": ')
+    text = (
+        F.when(F.col("shape") == 0, joined("[", long, value, "}, ", head, "}]"))
+        .when(F.col("shape") == 1, wide)
+        .when(F.col("shape") == 2, joined(head, ', "metrics": {', quoted(kind), ": ", value, ', "extra": ', value + 1, "}}"))
+        .when(F.col("shape") == 3, joined("[", long, value, "}, ", long.substr(F.lit(1), F.length(head)), ', "extra": ', value + 1, "}]"))
+        .when(F.col("shape") == 4, joined(head, ", ", quoted(kind), ": ", quoted(value), ', "extra": null}'))
+        .otherwise(joined(long, '"word"}'))
+    )
+    scalars = t.table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("value"))
+    prose = t.table(spark, d, "region").select(F.concat(F.lit("no json "), F.col("r_name")).alias("value"))
+    good, bad = unpivot_payloads(e.select(text.alias("value")).unionByName(scalars).unionByName(prose))
+    return good.select(F.lit("reading").alias("kind"), "sensor_id", "metric", "value").unionByName(
+        bad.select(F.col("reason").alias("kind"), "sensor_id", "metric", F.lit(None).cast("double").alias("value")))
+
+
 @query("read_truth", oracle="""
 SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS row_index, CAST(c_custkey % 130 AS DOUBLE) AS rul FROM customer""")
 def read_truth(spark: SparkSession, d: str) -> DataFrame:

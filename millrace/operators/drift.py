@@ -11,6 +11,17 @@ from millrace import config
 from millrace.functions import columns as C
 from millrace.operators.reshape import unpivot_readings
 from millrace.operators.sizing import CUT, SEGMENT, segment_edges, with_segment
+from millrace.session import shared_dir
+
+
+def value_counts(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(``by``, feature, value, n): how often each distinct value occurs, without nulls and NaN.
+
+    Counts of disjoint rows add up, so they can be stored per day and merged for any range of days.
+    """
+    known = [f for f in features if f in df.columns]
+    values = unpivot_readings(df, list(by), known).filter(~F.isnan("value"))
+    return values.groupBy(*by, F.col("metric").alias("feature"), "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def ks_two_sample(
@@ -18,21 +29,25 @@ def ks_two_sample(
 ) -> DataFrame:
     """Per feature: ``n_ref``, ``n_cur``, statistic ``d`` and asymptotic ``p_value``.
 
-    Null and NaN values are left out, and so is a feature without values on one side. Both sides
-    are first counted per distinct value, which also tames a value that fills most rows. The two
-    distribution functions are running sums over the sorted values; when a feature has more than
-    ``hot_rows`` values, it is sorted in consecutive segments, each starting from the totals of
-    the segments before.
+    Null and NaN values are left out, and so is a feature without values on one side.
     """
-    n_ref, n_cur = _sizes(reference, features), _sizes(current, features)
-    tested = [f for f in features if n_ref.get(f) and n_cur.get(f)]
-    sizes = reference.sparkSession.createDataFrame(
-        [(f, n_ref[f], n_cur[f]) for f in tested], "feature string, n_ref bigint, n_cur bigint"
-    )
-    long = _values(reference, tested, 1, 0).unionByName(_values(current, tested, 0, 1))
-    counts = long.groupBy("feature", "value").agg(F.sum("in_ref").alias("c_ref"), F.sum("in_cur").alias("c_cur"))
-    longest = max((n_ref[f] + n_cur[f] for f in tested), default=0)
-    edges = segment_edges(long, "feature", ["value"], hot_rows) if longest > hot_rows else None
+    return ks_of_counts(value_counts(reference, features), value_counts(current, features), hot_rows)
+
+
+def ks_of_counts(reference: DataFrame, current: DataFrame, hot_rows: int = config.HOT_ROWS) -> DataFrame:
+    """The same from the sides' ``value_counts``, which may have several rows for a value.
+
+    A value that fills most rows is one row here. Counts are merged once and written; sizes and split points are read
+    from that. The two distribution functions are running sums over the sorted values; when a feature has more than
+    ``hot_rows`` distinct values, it is sorted in consecutive ranges, each starting from the totals of the ranges before.
+    """
+    shared_dir(reference.sparkSession)
+    none = F.lit(0).cast("long")
+    sides = reference.select("feature", "value", F.col("n").alias("c_ref"), none.alias("c_cur")).unionByName(
+        current.select("feature", "value", none.alias("c_ref"), F.col("n").alias("c_cur")))
+    counts = sides.groupBy("feature", "value").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur")).checkpoint()
+    sizes = counts.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur")).filter("n_ref > 0 AND n_cur > 0")
+    edges = segment_edges(counts, "feature", ["value"], hot_rows)
     below = _below(counts, ["feature"], "value") if edges is None else _below_by_segment(
         with_segment(counts, "feature", ["value"], edges).drop(CUT)
     )
@@ -45,25 +60,6 @@ def ks_two_sample(
     )
 
 
-def _sizes(df: DataFrame, features: Sequence[str]) -> dict[str, int]:
-    """Usable values per feature: one row, from a scan of the columns as they lie."""
-    present = [f for f in features if f in df.columns]
-    if not present:
-        return {}
-    number = {f: F.col(f).try_cast("double") for f in present}
-    usable = [F.count_if(number[f].isNotNull() & ~F.isnan(number[f])).alias(f) for f in present]
-    return df.agg(*usable).first().asDict()
-
-
-def _values(df: DataFrame, features: Sequence[str], in_ref: int, in_cur: int) -> DataFrame:
-    return (
-        unpivot_readings(df, [], features)
-        .filter(~F.isnan("value"))
-        .select(F.col("metric").alias("feature"), "value",
-                F.lit(in_ref).alias("in_ref"), F.lit(in_cur).alias("in_cur"))
-    )
-
-
 def _below(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """How many values of each side lie at or below each distinct value."""
     up_to = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
@@ -112,8 +108,15 @@ def drift_report(
     reference: DataFrame, current: DataFrame, features: Sequence[str], hot_rows: int = config.HOT_ROWS
 ) -> tuple[DataFrame, DataFrame]:
     """(the one fact row of this run, the flagged tests per feature)."""
-    flags = drift_flags(ks_two_sample(reference, current, features, hot_rows))
-    fact = drift_summary(flags, len(features)).select(
+    return drift_report_of_counts(value_counts(reference, features), value_counts(current, features), len(features), hot_rows)
+
+
+def drift_report_of_counts(
+    reference: DataFrame, current: DataFrame, n_features: int, hot_rows: int = config.HOT_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """The same from the sides' value counts."""
+    flags = drift_flags(ks_of_counts(reference, current, hot_rows))
+    fact = drift_summary(flags, n_features).select(
         C.date_key(F.current_timestamp()).alias("date_id"),
         "dataset_drift", "share_of_drifted_columns", "number_of_drifted_columns", "n_tested",
     )

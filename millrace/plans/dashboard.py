@@ -22,7 +22,15 @@ def star_join(fact: DataFrame, engines: DataFrame, dates: DataFrame, statuses: D
 
 def sliced(star: DataFrame, engines: Sequence[str] | None = None, first: str | None = None,
            last: str | None = None, statuses: Sequence[str] | None = None) -> DataFrame:
-    """The slicers: engines, range of window starts (inclusive), status labels; None means all."""
+    """The slicers: engines, range of window starts (inclusive), status labels; None means all.
+
+    Where the fact's ``date`` is among the columns, the range also goes there as days, so other days are not read.
+    """
+    if "date" in star.columns:
+        if first is not None:
+            star = star.filter(F.col("date") >= first[:10])
+        if last is not None:
+            star = star.filter(F.col("date") <= last[:10])
     if engines is not None:
         star = star.filter(F.col("sensor_id").isin(list(engines)))
     if first is not None:
@@ -34,6 +42,29 @@ def sliced(star: DataFrame, engines: Sequence[str] | None = None, first: str | N
     return star
 
 
+MAX_SLICED = 10_000
+
+
+def sliced_fact(fact: DataFrame, engines: DataFrame, sensors: Sequence[str] | None = None, first: str | None = None,
+                last: str | None = None) -> DataFrame:
+    """Facts of the chosen engines and range of window starts, before any join.
+
+    The slicers become literals on the fact's own columns: days prune partitions, keys prune row groups by their statistics,
+    as ``run_gold`` clusters by both. The engines' keys are looked up in the dimension, as many as a user has chosen; more than
+    ``MAX_SLICED`` are joined instead.
+    """
+    digits = lambda text: int("".join(c for c in text if c.isdigit())[:12].ljust(12, "0"))
+    if first is not None:
+        fact = fact.filter((F.col("date") >= first[:10]) & (F.col("date_id") >= digits(first)))
+    if last is not None:
+        fact = fact.filter((F.col("date") <= last[:10]) & (F.col("date_id") <= digits(last)))
+    if sensors is None:
+        return fact
+    chosen = engines.filter(F.col("sensor_id").isin(list(sensors))).select("engine_id").distinct()
+    keys = [r[0] for r in chosen.limit(MAX_SLICED + 1).collect()]
+    return fact.filter(F.col("engine_id").isin(keys)) if len(keys) <= MAX_SLICED else fact.join(chosen, "engine_id", "left_semi")
+
+
 def rul_over_time(star: DataFrame) -> DataFrame:
     """Trajectory of the prediction per engine, in time order."""
     return star.select("sensor_id", "timestamp_str", "time_in_cycles", "predicted_rul").orderBy(

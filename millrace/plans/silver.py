@@ -12,6 +12,7 @@ from millrace.operators import baselines as B
 from millrace.operators import cleaning, reshape
 from millrace.sinks.tables import in_partitions, overwrite, partition_values, upsert
 from millrace.sources.files import READING_SCHEMA, read_table
+from millrace.streaming.ledger import BatchLedger, ledger_of
 
 SILVER_KEY = ("sensor_id", "window_start")
 # equal processing times are settled by the later cycle, then by the model name
@@ -45,6 +46,9 @@ def run_silver(
     """Upserts Silver from Bronze: all of it, the given days, or the days touched by what was processed after
     ``since``. False while there is no Bronze.
 
+    The days come from the ledger that ``start_bronze`` keeps, so Bronze is read in those days only; a Bronze table
+    without a ledger is searched for them.
+
     Readings without a sensor or a readable time are no Silver rows; with ``quarantine_path`` those of this
     run are written there, with the reason, in place of the last run's.
     """
@@ -52,7 +56,11 @@ def run_silver(
     if bronze is None:
         return False
     if since is not None:
-        bronze = touched_days(bronze.filter(F.col("processed_at") > F.lit(since).cast("timestamp")), bronze)
+        ledger = BatchLedger(spark, ledger_of(bronze_path))
+        if ledger.exists():
+            bronze = in_partitions(bronze, "date", ledger.days_since(since))
+        else:
+            bronze = touched_days(bronze.filter(F.col("processed_at") > F.lit(since).cast("timestamp")), bronze)
     baselines = read_table(spark, baselines_path) if baselines_path else None
     known = [c for c in (*READING_SCHEMA.names, "processed_at") if c in bronze.columns]
     if quarantine_path is not None:

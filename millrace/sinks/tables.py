@@ -40,6 +40,13 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def drop_partitions(spark: SparkSession, path: str, partition: str, values: Sequence[str]) -> None:
+    """Removes whole partitions of a table."""
+    for value in values:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={value}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 MAX_TOUCHED = 100_000  # partitions of one upsert: days are bounded by the calendar
 
 

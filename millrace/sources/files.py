@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,12 +57,26 @@ def read_readings(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
 
 def _read_csv(spark: SparkSession, path: str, sep: str, schema: T.StructType) -> DataFrame:
     """Columns by the names in the header, whatever their order; others are ignored and a missing one is an error.
-    A value that is no number becomes null."""
+    A value that is no number becomes null.
+
+    Files of a folder may have headers of their own: each is read by its own header, and one that lacks a column raises when
+    it is read. Text that is a number or a date comes back in its usual form there, without leading zeros.
+    """
     lines = spark.read.csv(path, sep=sep, header=True)
     missing = [name for name in schema.names if name not in lines.columns]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
-    return lines.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+    if len(lines.inputFiles()) < 2:
+        return lines.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+    rows = spark.read.option("singleVariantColumn", "_row").csv(path, sep=sep, header=True).select("_row", "_metadata.file_path")
+
+    def value(f: T.StructField) -> Column:
+        place = f"$['{f.name}']"
+        absent = F.try_variant_get("_row", place, "variant").isNull()
+        error = F.raise_error(F.concat(F.col("file_path"), F.lit(f" has no column {f.name}")))
+        return F.when(absent, error.cast(f.dataType)).otherwise(F.try_variant_get("_row", place, f.dataType.simpleString())).alias(f.name)
+
+    return rows.select(*[value(f) for f in schema])
 
 
 def read_training_csv(spark: SparkSession, path: str, metrics: Sequence[str] = config.METRICS,

@@ -8,10 +8,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import cleaning
-from millrace.sinks.tables import replace_partitions
 from millrace.sources.files import CORRUPT, READING_SCHEMA, parse_payloads
+from millrace.streaming.ledger import BatchLedger, land, ledger_of
 
 MINUTE = "1 minute"
+QUARANTINE_BATCHES = 1000  # batches of a quarantine folder
 
 
 def stream_readings(
@@ -46,24 +47,22 @@ def to_bronze(readings: DataFrame) -> DataFrame:
 
 def start_bronze(
     stream: DataFrame, out: str, checkpoint: str, tag: str = "main", trigger: dict | None = None,
-    quarantine: str | None = None,
+    quarantine: str | None = None, ledger: str | None = None,
 ) -> StreamingQuery:
-    """Appends micro-batches to ``out``, partitioned by day and batch.
+    """Appends micro-batches to ``out``, partitioned by day, and notes each in a ledger beside it.
 
-    A batch writes the partitions ``batch_id=<tag>-<n>`` and replaces them when it is replayed
-    after a failure, so each reading lands once. Use a new ``tag`` with a new checkpoint: batch
-    numbers start again there. Readings without a readable time go to the null-day partition.
+    The ledger (``<out>-ledger`` unless named) says which batches have landed and which days they touched. A batch that is
+    replayed after a failure is recognised there: one that has landed is left out, one that was only begun replaces
+    what it has written. Each reading lands once, and there is a folder for each day, not for each batch. Use a new
+    ``tag`` with a new checkpoint: batch numbers start again there. Readings without a readable time go to the null-day partition.
 
-    ``stream`` is what ``stream_readings`` gives. Lines that are no JSON and readings without a sensor go to
-    ``quarantine``, in the same way; without that folder they are left out.
+    ``stream`` is what ``stream_readings`` or ``newest_in_stream`` gives. Lines that are no JSON and readings without a
+    sensor go to ``quarantine``, in the same way; without that folder they are left out.
     """
+    book = BatchLedger(stream.sparkSession, ledger or ledger_of(out))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        numbered = batch.withColumn("batch_id", F.lit(f"{tag}-{batch_id}"))
-        replace_partitions(to_bronze(numbered), out, "date", ["batch_id"])
-        if quarantine is not None:
-            rejects = numbered.filter("sensor_id IS NULL OR sensor_id = ''")
-            replace_partitions(cleaning.stamped(rejects), quarantine, "batch_id")
+        book.once(tag, batch_id, lambda replay: _land_batch(batch, f"{tag}-{batch_id}", f"{tag}-{batch_id // QUARANTINE_BATCHES}", out, quarantine, replay))
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -73,6 +72,35 @@ def start_bronze(
     )
 
 
+def _land_batch(batch: DataFrame, marker: str, block: str, out: str, quarantine: str | None, replay: bool) -> dict[str | None, int]:
+    """Rows that landed, by day. Both writes and the count read the batch, so it is held for their time."""
+    batch = batch.persist()
+    try:
+        if quarantine is not None:
+            rejects = cleaning.stamped(batch.filter("sensor_id IS NULL OR sensor_id = ''"))
+            land(rejects.withColumn("batches", F.lit(block)), quarantine, marker, replay, "batches")
+        return land(to_bronze(batch), out, marker, replay)
+    finally:
+        batch.unpersist()
+
+
+def newest_in_stream(readings: DataFrame, lateness: str = "10 minutes", newest: str = "processed_at") -> DataFrame:
+    """One reading per key, as a stream: the one that ``dedupe_readings`` keeps in a batch.
+
+    The newest version of a reading is held as the state of an aggregation until the watermark passes the reading's
+    time; then it is emitted once and its state goes. Versions may arrive in any order within ``lateness``; one that
+    arrives later is dropped. Versions are ranked by ``newest``, which is the time of arrival if the readings have no such
+    column. Lines without a sensor only move the watermark, so a heartbeat drains the state of a quiet stream;
+    readings without a readable time are left to the quarantine.
+    """
+    if newest not in readings.columns:
+        readings = cleaning.stamped(readings, newest)
+    timed = cleaning.timed(readings.drop(CORRUPT)).withWatermark("event_timestamp", lateness)
+    # tied to the time, so that the filter stays above the watermark
+    usable = timed.filter(F.when(F.col("sensor_id") != "", F.col("event_timestamp")).isNotNull())
+    return cleaning.dedupe_readings(usable, (*cleaning.READING_KEY, "event_timestamp"), newest).drop("event_timestamp")
+
+
 def stream_window_avg(readings: DataFrame, window: str = MINUTE, lateness: str = "10 minutes") -> DataFrame:
     """Window means as a stream: duplicates within the lateness are dropped, and a window is
     emitted once the watermark has passed it."""
