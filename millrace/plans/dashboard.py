@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.cleaning import last_row
@@ -95,13 +95,17 @@ def metric_trend(star: DataFrame, columns: Sequence[str], bucket: str = "day") -
 def rul_correlation(fact: DataFrame, sensors: Sequence[str], rul: str = "predicted_rul") -> DataFrame:
     """Per sensor: rows, correlation with the RUL and the line ``rul = slope * sensor + intercept``.
 
-    All sensors come from one aggregation that ends in a single row; unpivoting happens after it.
+    All sensors come from one aggregation that ends in a single row; unpivoting happens after it. A constant sensor has
+    no correlation and no line.
     """
+    def spread(c: str, other: str) -> Column:
+        return F.stddev_pop(F.when(F.col(other).isNotNull(), F.col(c)))
+
     stats = fact.agg(
         *[
             F.struct(
                 F.count(F.when(F.col(rul).isNotNull(), F.col(s))).alias("n"),
-                F.corr(rul, s).alias("correlation"),
+                F.try_divide(F.covar_pop(rul, s), F.nullif(spread(rul, s) * spread(s, rul), F.lit(0.0))).alias("correlation"),
                 F.regr_slope(rul, s).alias("slope"),
                 F.regr_intercept(rul, s).alias("intercept"),
             ).alias(s)
