@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +18,11 @@ MAX_REPEAT_PERCENT = 30
 MIN_CHARS_COMPARED = 200
 MIN_WORDS_COMPARED = 50
 MIN_REFERENCE_WORDS = 5000
-#: largest Jensen-Shannon distances (base 2, 0 to 1) of a kept text
-MAX_CHAR_DISTANCE = 0.3
-MAX_WORD_DISTANCE = 0.5
+#: largest Jensen-Shannon divergences (squared distances, bits) of a kept text: what texts of a language differ by, and what
+#: chance adds to a text of n words or characters. Chance alone makes 8 ln 2 n times the divergence of k shares a chi-square of
+#: k - 1 degrees; words are allowed its mean and four deviations, characters, which come in words, a fixed number.
+WORD_SLACK, WORD_DEVIATIONS = 0.01, 4
+CHAR_SLACK, CHAR_CHANCE = 0.03, 6.0
 
 # Common words of the languages, in natural order.
 COMMON_WORDS = {
@@ -29,7 +33,7 @@ COMMON_WORDS = {
 }
 #: resolution of the typical shares
 SHARE_BINS = 2000
-CHAR_CLASSES = ("lower", "upper", "digit", "space", "other_ascii", "beyond_ascii")
+CHAR_CLASSES = ("lower", "upper", "digit", "space", "symbol", "other_ascii", "beyond_ascii")
 
 
 def _length_of(text: Column, others: str) -> Column:
@@ -46,9 +50,18 @@ def _with_statistics(rows: DataFrame) -> DataFrame:
         "word_chars": F.char_length(F.array_join("_words", "")).cast("long"),
         "n_symbols": F.regexp_count(text, F.lit(SYMBOL)).cast("long"),
         "_lines": F.filter(F.split(text, "\n"), lambda x: F.regexp_like(x, F.lit(WORD))),
-        # windows by a 64-bit hash: two different ones of a document agree with odds of (windows squared / 2**65)
-        "_windows": F.when(F.size("_words") >= REPEAT_WINDOW, F.transform(
-            F.sequence(F.lit(1), F.size("_words") - (REPEAT_WINDOW - 1)), lambda i: F.xxhash64(F.slice("_words", i, REPEAT_WINDOW)))),
+        "_run1": F.transform("_words", lambda w: F.xxhash64(w)),
+    })
+    # windows by a 64-bit hash: two different ones of a document agree with odds of (windows squared / 2**65). Each word is
+    # hashed once, then runs of 2, 4 and 8 words from the runs of half the length.
+    width = 1
+    while width < REPEAT_WINDOW:
+        run = F.col(f"_run{width}")
+        later = F.slice(run, width + 1, F.greatest(F.size(run), F.lit(1)))
+        rows = rows.withColumn(f"_run{2 * width}", F.zip_with(run, later, lambda x, y: F.xxhash64(x, y)))
+        width *= 2
+    rows = rows.withColumns({
+        "_windows": F.when(F.size("_words") >= REPEAT_WINDOW, F.slice(f"_run{REPEAT_WINDOW}", 1, F.size("_words") - (REPEAT_WINDOW - 1))),
     })
     rows = rows.withColumns({
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
@@ -77,8 +90,8 @@ def _with_statistics(rows: DataFrame) -> DataFrame:
         "_found": F.transform("_list", lambda w: ((F.char_length(plain) - F.char_length(F.replace(plain, F.concat(F.lit(" "), w, F.lit(" ")), F.lit(""))))
                                                   / (F.char_length(w) + 2)).cast("long")),
         "chars": F.array(*[c.cast("long") for c in (
-            F.col("_lower"), F.col("_upper"), F.col("_digit"), F.col("_n") - F.col("word_chars"),
-            F.col("word_chars") - F.col("_lower") - F.col("_upper") - F.col("_digit") - F.col("_beyond"), F.col("_beyond"))]),
+            F.col("_lower"), F.col("_upper"), F.col("_digit"), F.col("_n") - F.col("word_chars"), F.col("n_symbols"),
+            F.col("word_chars") - F.col("_lower") - F.col("_upper") - F.col("_digit") - F.col("n_symbols") - F.col("_beyond"), F.col("_beyond"))]),
     })
     total = F.greatest("n_words", F.aggregate("_found", F.lit(0).cast("long"), lambda a, x: a + x))
     return rows.withColumn("common", F.when(F.col("_list").isNotNull(), F.concat(
@@ -91,22 +104,12 @@ def _shares(counts: Column) -> Column:
 
 
 def jensen_shannon(p: Column, q: Column) -> Column:
-    """Distance of two distributions (arrays of equal length): 0 if equal, 1 if they share nothing."""
+    """Distance of two distributions (arrays of equal length): 0 if equal, 1 if they share nothing. Its square is the divergence."""
     part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(F.lit(0.0))
     each = F.zip_with(p, q, lambda a, b: (part(a, (a + b) / 2) + part(b, (a + b) / 2)) / 2)
     return F.sqrt(F.greatest(F.aggregate(each, F.lit(0.0), lambda a, x: a + x), F.lit(0.0)))
 
 
-def language_references(rows: DataFrame) -> DataFrame:
-    """(lang, ref_chars, ref_common, ref_words): the histograms summed over all documents of each language."""
-    longest = max(map(len, COMMON_WORDS.values())) + 1
-    sums = lambda name, n: [F.coalesce(F.sum(F.get(name, F.lit(i))), F.lit(0)).cast("long") for i in range(n)]
-    out = rows.groupBy("lang").agg(
-        F.sum("n_words").alias("ref_words"), F.array(*sums("chars", len(CHAR_CLASSES))).alias("ref_chars"),
-        F.max(F.size("common")).alias("_k"), F.array(*sums("common", longest)).alias("_common"))
-    return out.select("lang", "ref_words", "ref_chars", F.when(F.col("_k") > 0, F.slice("_common", F.lit(1), F.greatest(F.col("_k"), F.lit(1)))).alias("ref_common"))
-
-
 def typical_histograms(rows: DataFrame) -> DataFrame:
     """(lang, usual_chars, usual_common): what is usual for a document of each language, however many rows a source has.
 
@@ -129,39 +132,44 @@ def typical_histograms(rows: DataFrame) -> DataFrame:
     return found.groupBy("lang").agg(usual("chars").alias("usual_chars"), usual("common").alias("usual_common"))
 
 
-def judged(docs: DataFrame, typical: bool = False) -> DataFrame:
-    """Every row's doc_id, base columns (n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed),
-    char_distance, word_distance and kept.
+def references(rows: DataFrame) -> DataFrame:
+    """(lang, ref_words, usual_chars, usual_common): words of all documents of a language, and its typical histograms."""
+    words = rows.groupBy("lang").agg(F.sum("n_words").alias("ref_words"))
+    usual = typical_histograms(rows).withColumnRenamed("lang", "_lang")
+    return words.join(usual, F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang")
 
-    Texts are compared with their language's references: the histograms of character classes and of the language's
-    common words. char_distance and word_distance are to the sums over all documents of that ``lang``. kept goes by
-    these, or with ``typical`` by the distances to ``typical_histograms``, which a hot source cannot move. It is false
-    if base_failed, or if a text that is long enough lies farther off than the allowed Jensen-Shannon
-    distance, in a language of enough words. A distance is null where the text or the reference is too small, and the word distance for languages
-    without a list; null counts as near. A null text has no words, so it fails; a null lang is a language of its own.
-    Repeated rows are judged alike; columns other than doc_id, text, lang and source (if there is one) are ignored. The rows move to the
-    references only as counts: one row for each language is joined back.
+
+def judged(docs: DataFrame) -> DataFrame:
+    """Every row's doc_id, base columns (n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed), kept,
+    char_distance and word_distance.
+
+    Texts are compared with their language's ``typical_histograms``, which a hot source cannot move. kept is false if
+    base_failed, or if the square of a distance is above its limit, which falls with the length of the text: see
+    ``WORD_SLACK``. A distance is null where the text or the language has too few words, and the word distance for
+    languages without a list; null counts as near.
+
+    A null text has no words, so it fails; a null lang is a language of its own, a null source a source. Repeated rows are
+    judged alike; columns other than doc_id, text, lang and source (if there is one) are ignored, whatever their names. A
+    very long text is one row like any other. An empty table gives no rows. The rows move to the references only as counts: one
+    row for each language is written and joined back, broadcast as long as its file is small.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"),
                        (F.col("source") if "source" in docs.columns else F.lit(None)).cast("string").alias("source"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     rows = stored(_with_statistics(rows).select("doc_id", "lang", "source", *base, "chars", "common"), "divergence-statistics")
-    refs = language_references(rows)
-    if not typical:
-        refs = refs.withColumns({"usual_chars": F.col("ref_chars"), "usual_common": F.col("ref_common")})
-    else:
-        usual = typical_histograms(rows).withColumnRenamed("lang", "_lang")
-        refs = refs.join(usual, F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang")
-    refs = refs.withColumnRenamed("lang", "_lang")
+    refs = stored(references(rows).withColumnRenamed("lang", "_lang").coalesce(1), "divergence-references")
     rows = rows.join(refs, F.col("lang").eqNullSafe(F.col("_lang")), "left")
-    enough = F.col("ref_words") >= MIN_REFERENCE_WORDS
     n_chars = F.aggregate("chars", F.lit(0).cast("long"), lambda a, x: a + x)
-    compared = {"char": enough & (n_chars >= MIN_CHARS_COMPARED), "word": enough & (F.col("n_words") >= MIN_WORDS_COMPARED) & F.col("common").isNotNull()}
+    rows = rows.withColumn("_chars", n_chars)
+    enough = F.col("ref_words") >= MIN_REFERENCE_WORDS
+    compared = {"char": enough & (F.col("_chars") >= MIN_CHARS_COMPARED), "word": enough & (F.col("n_words") >= MIN_WORDS_COMPARED) & F.col("common").isNotNull()}
     distance = lambda kind, own, ref: F.when(compared[kind] & (F.size(ref) > 0), jensen_shannon(_shares(F.col(own)), _shares(F.col(ref))))
     rows = rows.withColumns({
-        "char_distance": distance("char", "chars", "ref_chars"), "word_distance": distance("word", "common", "ref_common"),
-        "_char_off": distance("char", "chars", "usual_chars"), "_word_off": distance("word", "common", "usual_common"),
+        "char_distance": distance("char", "chars", "usual_chars"), "word_distance": distance("word", "common", "usual_common"),
         "base_failed": (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT),
     })
-    far = F.coalesce(F.col("_char_off") > MAX_CHAR_DISTANCE, F.lit(False)) | F.coalesce(F.col("_word_off") > MAX_WORD_DISTANCE, F.lit(False))
-    return rows.select("doc_id", *base, "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "char_distance", "word_distance")
+    degrees = (F.size("common") - 1).cast("double")
+    chance = (degrees + F.sqrt(degrees * 2) * WORD_DEVIATIONS) / (8 * math.log(2))
+    limits = {"char_distance": CHAR_SLACK + F.lit(CHAR_CHANCE) / F.col("_chars"), "word_distance": WORD_SLACK + chance / F.col("n_words")}
+    far = [F.coalesce(F.when(F.col(c).isNotNull(), F.col(c) * F.col(c) > limit), F.lit(False)) for c, limit in limits.items()]
+    return rows.select("doc_id", *base, "base_failed", (~F.col("base_failed") & ~(far[0] | far[1])).alias("kept"), "char_distance", "word_distance")

@@ -57,35 +57,39 @@ def divergence_sql() -> str:
     part = lambda x: f"CASE WHEN {x} > 0 THEN {x} * log2({x} / ((p + q) / 2)) ELSE 0 END"
     return rf"""
 WITH words(lang, k, word) AS (VALUES {words}),
-d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, lang,
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, lang, source,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
 x AS (SELECT rid, i, array_to_string(words[i : i + 7], ' ') AS g FROM (SELECT rid, words, unnest(range(1, len(words) - 6)) AS i FROM d WHERE len(words) >= 8)),
 r AS (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS later FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM x) WHERE n > 1),
 c AS (SELECT rid, sum(least(8, coalesce(later - i, 8)))::BIGINT AS n_repeat_words FROM r GROUP BY rid),
 l AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d)
     WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
-b AS (SELECT rid, doc_id, lang, text, len(words)::BIGINT AS n_words, coalesce(length(array_to_string(words, '')), 0)::BIGINT AS word_chars,
+b AS (SELECT rid, doc_id, lang, source, text, len(words)::BIGINT AS n_words, coalesce(length(array_to_string(words, '')), 0)::BIGINT AS word_chars,
     len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
     coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, length(text) AS n,
     {kept('[^a-z]+')} AS lo, {kept('[^A-Z]+')} AS up, {kept('[^0-9]+')} AS di, {kept(r'[\x00-\x7F]+')} AS be
     FROM d LEFT JOIN l USING (rid) LEFT JOIN c USING (rid)),
-ch AS (SELECT rid, lang, unnest(range(6)) AS k, unnest([lo, up, di, n - word_chars, word_chars - lo - up - di - be, be]) AS n FROM b),
-wo AS (SELECT rid, b.lang, k, (length(plain) - length(replace(plain, ' ' || word || ' ', ''))) // (length(word) + 2) AS n
-    FROM (SELECT rid, lang, ' ' || regexp_replace(lower(text), '[^\p{{L}}]+', '  ', 'g') || ' ' AS plain FROM b) b JOIN words ON b.lang = words.lang),
-co AS (SELECT rid, lang, k, n FROM wo UNION ALL
-    SELECT rid, b.lang, 99, greatest(b.n_words, s) - s FROM b JOIN (SELECT rid, sum(n)::BIGINT AS s FROM wo GROUP BY rid) USING (rid)),
-hist AS (SELECT 'c' AS kind, * FROM ch UNION ALL SELECT 'w', * FROM co),
-refs AS (SELECT kind, lang, k, sum(n) AS n FROM hist GROUP BY ALL),
-shares AS (SELECT h.kind, h.rid, h.n::DOUBLE / greatest(1, sum(h.n) OVER (PARTITION BY h.kind, h.rid)) AS p,
-    r.n::DOUBLE / greatest(1, sum(r.n) OVER (PARTITION BY h.kind, h.rid)) AS q
-    FROM hist h JOIN refs r ON h.kind = r.kind AND h.k = r.k AND h.lang IS NOT DISTINCT FROM r.lang),
-js AS (SELECT rid, kind, sqrt(greatest(0, sum(({part('p')} + {part('q')}) / 2))) AS distance FROM shares GROUP BY ALL),
-e AS (SELECT *, sum(n_words) OVER (PARTITION BY lang) >= {D.MIN_REFERENCE_WORDS} AS enough,
-    n_words < {D.MIN_WORDS} OR 100 * n_repeat_words > {D.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM b)
+ch AS (SELECT rid, lang, source, unnest(range(7)) AS k, unnest([lo, up, di, n - word_chars, n_symbols, word_chars - lo - up - di - n_symbols - be, be]) AS n FROM b),
+wo AS (SELECT rid, b.lang, source, k, (length(plain) - length(replace(plain, ' ' || word || ' ', ''))) // (length(word) + 2) AS n
+    FROM (SELECT rid, lang, source, ' ' || regexp_replace(lower(text), '[^\p{{L}}]+', '  ', 'g') || ' ' AS plain FROM b) b JOIN words ON b.lang = words.lang),
+co AS (SELECT rid, lang, source, k, n FROM wo UNION ALL
+    SELECT rid, any_value(wo.lang), any_value(wo.source), max(k) + 1, greatest(any_value(n_words), sum(n)) - sum(n) FROM wo JOIN (SELECT rid, n_words FROM b) USING (rid) GROUP BY rid),
+h AS (SELECT 'c' AS kind, * FROM ch UNION ALL SELECT 'w', * FROM co),
+sh AS (SELECT kind, rid, lang, source, k, n::DOUBLE / greatest(sum(n) OVER (PARTITION BY kind, rid), 1) AS p FROM h),
+lw AS (SELECT lang, sum(n_words) AS ref_words FROM b GROUP BY lang),
+cm AS (SELECT sh.*, b.n_words, b.n FROM sh JOIN b USING (rid)
+    WHERE (kind = 'c' AND b.n >= {D.MIN_CHARS_COMPARED}) OR (kind = 'w' AND n_words >= {D.MIN_WORDS_COMPARED})),
+ms AS (SELECT kind, lang, source, k, median(floor(p * {D.SHARE_BINS})) AS m FROM cm GROUP BY ALL),
+ml AS (SELECT kind, lang, k, floor(median(m) * 4) AS m FROM ms GROUP BY ALL),
+us AS (SELECT kind, lang, k, m / greatest(sum(m) OVER (PARTITION BY kind, lang), 1) AS q FROM ml),
+js AS (SELECT cm.kind, rid, any_value(n_words) AS n_words, any_value(n) AS n, max(cm.k) AS degrees, greatest(sum({part('p')} + {part('q')}) / 2, 0) AS divergence
+    FROM cm JOIN us ON cm.kind = us.kind AND cm.k = us.k AND cm.lang IS NOT DISTINCT FROM us.lang
+    JOIN lw ON cm.lang IS NOT DISTINCT FROM lw.lang WHERE ref_words >= {D.MIN_REFERENCE_WORDS} GROUP BY cm.kind, rid),
+far AS (SELECT DISTINCT rid FROM js WHERE divergence > CASE kind WHEN 'c' THEN {D.CHAR_SLACK} + {D.CHAR_CHANCE} / n
+    ELSE {D.WORD_SLACK} + (degrees + sqrt(2 * degrees) * {D.WORD_DEVIATIONS}) / (8 * ln(2)) / n_words END),
+e AS (SELECT *, n_words < {D.MIN_WORDS} OR 100 * n_repeat_words > {D.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM b)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    NOT base_failed
-    AND NOT (enough AND n >= {D.MIN_CHARS_COMPARED} AND coalesce((SELECT distance FROM js WHERE js.rid = e.rid AND kind = 'c') > {D.MAX_CHAR_DISTANCE}, false))
-    AND NOT (enough AND n_words >= {D.MIN_WORDS_COMPARED} AND coalesce((SELECT distance FROM js WHERE js.rid = e.rid AND kind = 'w') > {D.MAX_WORD_DISTANCE}, false)) AS kept
+    NOT base_failed AND rid NOT IN (SELECT rid FROM far) AS kept
 FROM e"""
 
 
