@@ -68,6 +68,13 @@ DRIFT_RUN_NAME = "concept_drift_monitoring"
 
 # A series (or feature) with more rows than this is split over several tasks.
 HOT_ROWS = 4_000_000
+# Wide intermediate rows are split earlier: a task's rows hold about this many bytes.
+HOT_BYTES = 2 << 30
+
+
+def hot_rows(numbers: int) -> int:
+    """Rows of so many numbers each that one task may hold."""
+    return max(10_000, min(HOT_ROWS, HOT_BYTES // (8 * max(numbers, 1))))
 
 
 @dataclass(frozen=True)

@@ -34,7 +34,7 @@ def feature_rows(
     metrics: Sequence[str],
     order: Sequence[str] = ("time_in_cycles",),
     windows: Sequence[int] = config.ROLLING_WINDOWS,
-    hot_rows: int = config.HOT_ROWS,
+    hot_rows: int | None = None,
     series: str = "unit_number",
 ) -> DataFrame:
     """Model rows, the same for training and for scoring. ``series`` tells the units apart: the sensor where

@@ -102,7 +102,7 @@ def fact_features(metrics: Sequence[str]) -> list[str]:
 
 
 def score_silver(silver: DataFrame, model: PipelineModel, metrics: Sequence[str] = config.METRICS,
-                 hot_rows: int = config.HOT_ROWS) -> DataFrame:
+                 hot_rows: int | None = None) -> DataFrame:
     """Features and predictions for every Silver row; order ties go by window."""
     rows = M.with_unit_number(silver.withColumn("engine_model", C.or_default_model("engine_model")))
     features = M.feature_rows(rows, metrics, SERIES_ORDER, hot_rows=hot_rows, series="sensor_id")
