@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.staging import stored
+from millrace.llm.staging import MAX_TASKS, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
+PART_BYTES = 16 << 20  # text of a task of the training order
 BUCKET_DIGITS = 3  # hex digits of the shuffling hash: 4096 runs of each source are summed separately
 #: relative weight of the sources in each of the equal phases of training, by place in WEIGHTS; each row has mean 1
 SCHEDULES = ((0.5, 0.75, 1.25, 1.5), (1.0, 1.0, 1.0, 1.0), (1.5, 1.25, 0.75, 0.5))
@@ -66,6 +67,19 @@ def position_of(share: Column, kind: Column, schedules: tuple[tuple[float, ...],
     return out
 
 
+HOT_RUN_ROWS, HOT_RUN_TIMES = 1000, 8  # a run of more rows than this, and so many times its source's mean run, is divided
+HOT_DIGITS = 2
+
+
+def _bin() -> Column:
+    """One text for a source and a run of it."""
+    return F.concat("_run", F.lit(":"), F.coalesce(F.concat(F.lit("s"), F.col("_source").cast("string")), F.lit("n")))
+
+
+def _run_sums(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("_source", "_run").agg(F.sum("_size").alias("run_size"), F.count("*").alias("n")).withColumn("_bin", _bin())
+
+
 ADDED = ("_size", "_source_size", "_target", "_taken", "_positions")
 
 
@@ -77,21 +91,34 @@ def _mixed(docs: DataFrame, size: Column | None, key: str, weights: tuple[int, .
     hashed = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("null")))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col("source").alias("_source"),
-        (word_count(F.col("text")) if size is None else size).alias("_size"), hashed.alias("_hash"),
-        F.substring(hashed, 1, BUCKET_DIGITS).alias("_run"))
-    runs = stored(rows.groupBy("_source", "_run").agg(F.sum("_size").alias("run_size")), "mix-runs")
+        (word_count(F.col("text")) if size is None else size).alias("_size"), hashed.alias("_hash"))
+    # rows with the same key and size go by all they hold, so the order does not depend on how they are stored
+    rows = rows.withColumns({"_tie": F.xxhash64("_doc"), "_run": F.substring("_hash", 1, BUCKET_DIGITS)})
+    runs = stored(_run_sums(rows), "mix-runs")
+    each = F.avg("n").over(Window.partitionBy("_source"))
+    hot = stored(runs.withColumn("_each", each).where((F.col("n") > HOT_RUN_ROWS) & (F.col("n") > F.col("_each") * HOT_RUN_TIMES)).select("_bin"), "mix-hot-runs")
+    if not hot.isEmpty():
+        # many rows of one key: their run is divided further down the same order
+        hot = hot.select(F.col("_bin").alias("_hot"))
+        finer = F.concat("_hash", F.lpad(F.col("_size").cast("string"), 19, "0"), F.lpad(F.hex("_tie"), 16, "0").substr(1, HOT_DIGITS))
+        # the order of hex digits is that of unsigned numbers
+        rows = rows.withColumn("_tie", F.lpad(F.hex("_tie"), 16, "0"))
+        rows = rows.join(hot, _bin() == F.col("_hot"), "left").withColumn("_run", F.when(F.col("_hot").isNotNull(), finer).otherwise(F.col("_run"))).drop("_hot")
+        runs = stored(_run_sums(rows), "mix-finer-runs")
+    else:
+        rows = rows.withColumn("_tie", F.lpad(F.hex("_tie"), 16, "0"))
     sizes = runs.groupBy(F.col("_source").alias("source")).agg(F.sum("run_size").alias("source_size"))
     targets = source_targets(sizes, weights, max_repeats)
     by_run = Window.partitionBy("_source").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select("_source", "_run", F.coalesce(F.sum("run_size").over(by_run), F.lit(0).cast("long")).alias("_before"))
+    runs = runs.select("_source", "_bin", F.coalesce(F.sum("run_size").over(by_run), F.lit(0).cast("long")).alias("_before"))
     t, r = targets.alias("t"), runs.alias("r")
     runs = stored(
         r.join(t, F.col("r._source").eqNullSafe(F.col("t.source")))
-        .select(F.col("r._source").alias("_s"), F.col("r._run").alias("_r"), "_before", F.col("source_size").alias("_source_size"),
-                F.col("target").alias("_target"), F.col("kind").alias("_kind")), "mix-targets")
-    inside = Window.partitionBy("_source", "_run").orderBy("_hash", "_size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_inside", F.coalesce(F.sum("_size").over(inside), F.lit(0).cast("long")))
-    rows = rows.join(runs, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_run") == F.col("_r")))
+        .select("_bin", "_before", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("kind").alias("_kind")), "mix-targets")
+    # the running sums and the join need the same partitioning, so whole rows move once
+    rows = rows.withColumn("_bin", _bin())
+    inside = Window.partitionBy("_bin").orderBy("_hash", "_size", "_tie").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_inside", F.coalesce(F.sum("_size").over(inside), F.lit(0).cast("long"))).join(runs, "_bin")
     first, budget = F.col("_before") + F.col("_inside"), F.floor("_target")
     taken, positions = F.lit(0).cast("long"), []
     for p in range(max_repeats):
@@ -111,13 +138,13 @@ def mix(docs: DataFrame, size: Column | None = None, key: str = "doc_id", weight
     _size: words (or ``size``); _source_size, _target: of its source; _taken: words the mix takes, repeats
     counted; _positions: training times in [0, 1] at which its copies start, null if none is taken.
 
-    A source's documents stand one after the other in the order of a hash of the key (ties: by size), and are
-    gone through again until the target is met, so the last copy may be cut; all that is taken of a source is its target
+    A source's documents stand one after the other in the order of a hash of the key (ties: by size, then by a hash of
+    the whole row), and are gone through again until the target is met, so the last copy may be cut; all that is taken of a source is its target
     without the fraction. Cumulative demand is the integral of the source's weight schedule, and a copy's position
     is where that demand reaches the words before it.
 
     Sums run over 4096 runs of each source, then over the runs, so a source with a third of all rows is never in one
-    task. Null text has size 0 and is never taken; null sources are one source, the last; rows with a null or
+    task; nor is a key with a third of them, null or not, whose run is divided by the ties' order. Null text has size 0 and is never taken; null sources are one source, the last; rows with a null or
     repeated key are documents of their own. Columns named like those added are replaced; no other name clashes.
     """
     rows = _mixed(docs, size, key, weights, max_repeats, schedules)
@@ -127,7 +154,10 @@ def mix(docs: DataFrame, size: Column | None = None, key: str = "doc_id", weight
 def training_order(docs: DataFrame) -> DataFrame:
     """``docs`` as the mix takes them, sorted by training position over the partitions: one row for each copy.
 
-    All columns stay. Of a copy that the target cuts, the text is its first words, joined by one space.
+    All columns stay. Of a copy that the target cuts, the text is its first words, joined by one space. Null and empty
+    texts are never taken; equal positions go by a hash of the row, so rows that are equal in all columns may change
+    places and others may not. The copies of training time are spread evenly, so a partition is a range of it and no
+    sample is needed to divide them.
     """
     columns = docs.columns
     rows = _mixed(docs, None, "doc_id", WEIGHTS, MAX_REPEATS, SCHEDULES).where("_taken > 0")
@@ -136,5 +166,8 @@ def training_order(docs: DataFrame) -> DataFrame:
     cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, words.cast("int")), " ")
     whole = F.when(words < F.col("_size"), cut).otherwise(text)
     rows = rows.select(F.struct(*[(whole if c == "text" else F.col("_doc")[c]).alias(c) for c in columns]).alias("_doc"), "_position")
-    rows = stored(rows, "mix-copies").repartitionByRange("_position", F.xxhash64("_doc")).sortWithinPartitions("_position")
+    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = 1 + min(MAX_TASKS, total // PART_BYTES)
+    at = F.least(F.floor(F.col("_position") * parts), F.lit(parts - 1)).cast("int")
+    rows = rows.repartitionById(parts, at).sortWithinPartitions("_position", F.xxhash64("_doc"))
     return rows.select(*[F.col("_doc")[c].alias(c) for c in columns])

@@ -7,17 +7,32 @@ from typing import Any
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.session import scratch_path
+from millrace.session import remove_scratch, scratch_path, shared_dir
+
+
+_made: list[str] = []  # tables of the stages so far, oldest first
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet under ``spark.checkpoint.dir`` and read back: cuts the lineage."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    _made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, needed: DataFrame) -> None:
+    """Removes the tables that ``stored`` has written so far, but for those that ``needed`` reads.
+
+    For a flow whose steps each write their result before the next one begins.
+    """
+    files = needed.inputFiles()
+    kept = [path for path in _made if any(path in f for f in files)]
+    remove_scratch(spark, *[path for path in _made if path not in kept and path.startswith(f"{shared_dir(spark)}/")])
+    _made[:] = kept
+
+
 BATCH_ROWS = 1000
 
 

@@ -7,8 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +19,9 @@ TRAINING_ROWS = 20_000  # bound of the sample of documents that the scorers are
 LABELLED_ROWS = 20_000  # bound of the sample of labelled documents that the lexicon is taken from
 LEXICON_WORDS = 200
 FIT_ROUNDS = 30
-FIT_TASKS = 2  # the sample is small, and every task sends the driver a gradient of all features in each round
+MEMORY = 10  # steps that a round's direction is made from
+RIDGE = 1e-4
+LEAST_WEIGHT = 0.02  # a posterior label of less weight is left out
 LEXICON_DOCS = 4  # toxic documents that a word of the lexicon needs,
 LEXICON_SHARE = 0.1  # the share of them,
 LEXICON_RATIO = 10  # and how many times it is as frequent there as in others
@@ -212,18 +213,100 @@ def _posterior(column: str, table: dict[int, float]) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.col(column))
 
 
+def chosen_share(share: float, *columns: str) -> Column:
+    """Whether a row is in the sample of this share: by all 64 bits of a hash, so that any share above 2**-64 counts."""
+    bound = int(share * 2**64) - 2**63
+    return F.lit(True) if bound >= 2**63 else F.xxhash64(*columns, F.lit(7)) < F.lit(bound)
+
+
+def fit_scorer(at: np.ndarray, ends: np.ndarray, bad: np.ndarray, features: int, rounds: int = FIT_ROUNDS) -> tuple[np.ndarray, float] | None:
+    """(weights, intercept) of a logistic scorer, by a quasi-Newton method of limited memory; None if only one class was seen.
+
+    Document i has the features ``at[ends[i - 1]: ends[i]]`` with equal values of norm 1, and counts as a bad document of
+    weight ``bad[i]`` and a good one of the rest. The loss is the mean over all weight, and a ridge on the weights.
+    """
+    sizes = np.diff(ends, prepend=0)
+    row = np.repeat(np.arange(len(ends)), sizes)
+    value = np.maximum(sizes, 1) ** -0.5
+    up, down = np.where(bad > LEAST_WEIGHT, bad, 0.0), np.where(1 - bad > LEAST_WEIGHT, 1 - bad, 0.0)
+    total = up.sum() + down.sum()
+    if not up.sum() or not down.sum():
+        return None
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        z = np.bincount(row, weights=x[at], minlength=len(ends)) * value + x[-1]
+        off = (down / (1 + np.exp(-np.clip(z, -500, 500))) - up / (1 + np.exp(np.clip(z, -500, 500)))) / total
+        slope = np.append(np.bincount(at, weights=(off * value)[row], minlength=features) + RIDGE * x[:-1], off.sum())
+        return float((up * np.logaddexp(0, -z) + down * np.logaddexp(0, z)).sum() / total + RIDGE / 2 * (x[:-1] @ x[:-1])), slope
+
+    x = np.zeros(features + 1)
+    x[-1] = np.log(up.sum() / down.sum())
+    value_now, slope = loss(x)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(rounds):
+        direction, scales = -slope, []
+        for s, y in reversed(steps):
+            scales.append((s @ direction) / (y @ s))
+            direction = direction - scales[-1] * y
+        if steps:
+            s, y = steps[-1]
+            direction = direction * ((s @ y) / (y @ y))
+        for (s, y), scale in zip(steps, reversed(scales)):
+            direction = direction + s * (scale - (y @ direction) / (y @ s))
+        size, fall = 1.0, slope @ direction
+        while size > 1e-10:
+            new, new_slope = loss(x + size * direction)
+            if new <= value_now + 1e-4 * size * fall:
+                break
+            size /= 2
+        else:
+            break
+        s, y = size * direction, new_slope - slope
+        if s @ y > 0:
+            steps = [*steps, (s, y)][-MEMORY:]
+        done = value_now - new < 1e-9 * max(abs(new), 1e-9)
+        x, value_now, slope = x + s, new, new_slope
+        if done:
+            break
+    return x[:-1], float(x[-1])
+
+
+def _fit_scorers(sample: DataFrame, bits: int) -> dict[str, tuple[np.ndarray, float] | None]:
+    """Scorers of all tasks, fitted in one task on the bounded sample (doc_id, mark, slots, and a posterior for each task)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots, sizes, bad = [], [], {t: [] for t in TASKS}
+        for batch in batches:
+            lists = batch.column(batch.schema.get_field_index("slots"))
+            slots.append(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+            sizes.append(np.diff(lists.offsets.to_numpy()))
+            for t in TASKS:
+                bad[t].append(batch.column(batch.schema.get_field_index(t)).to_numpy(zero_copy_only=False))
+        if sizes:
+            at, ends = np.concatenate(slots), np.cumsum(np.concatenate(sizes))
+            found = {t: fit_scorer(at, ends, np.concatenate(bad[t]), 1 << bits) for t in TASKS}
+            known = {t: f for t, f in found.items() if f is not None}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(known), pa.string()), pa.array([w.tolist() for w, _ in known.values()], pa.list_(pa.float64())),
+                 pa.array([b for _, b in known.values()], pa.float64())], names=["task", "weights", "intercept"])
+
+    # one place and one order, so that sums and scores are the same in every run
+    gathered = sample.repartition(1).sortWithinPartitions("doc_id", "mark")
+    rows = gathered.mapInArrow(run, "task string, weights array<double>, intercept double").toArrow()
+    found = {r["task"]: (np.array(r["weights"]), r["intercept"]) for r in rows.to_pylist()}
+    return {t: found.get(t) for t in TASKS}
+
+
 def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS, bits: int = BITS) -> Classifier:
     """Labellers vote on all documents, and their accuracies come from the counts of all vote patterns.
 
     The scorers are fitted on a sample of about ``training_rows`` documents by hash of id and text, whose posterior
-    labels count as two weighted rows each.
+    labels count as two weighted rows each. Copies of a document (same id and text) are in it once, so its size
+    does not depend on how many rows are copies.
     """
     spark = docs.sparkSession
     fitted = Classifier(toxic_lexicon(docs, labels), _hash_of(RUNNING), _hash_of(INSULTS), bits)
     sent = shipped(spark, fitted)
-    share = min(1.0, training_rows / max(docs.count(), 1))
-    texts = _texts(docs)
-    chosen = F.pmod(F.xxhash64("doc_id", "mark", F.lit(7)), F.lit(1_000_000)) < int(share * 1_000_000)
+    texts = _texts(docs).withColumn("chosen", chosen_share(min(1.0, training_rows / max(docs.count(), 1)), "doc_id", "mark"))
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = opened(sent)
@@ -234,29 +317,19 @@ def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS,
                 rows.append((*votes(s, c.lexicon, c.running, c.insults), slots(s, c.bits) if is_chosen else None))
             out = pd.DataFrame(rows, columns=["junk", "toxic", "slots"])
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy(dtype=object))
+            out.insert(1, "mark", batch["mark"].to_numpy())
             yield out
 
-    voted = texts.withColumn("chosen", chosen).mapInPandas(vote, "doc_id long, junk int, toxic int, slots array<int>")
+    voted = texts.mapInPandas(vote, "doc_id long, mark long, junk int, toxic int, slots array<int>")
     voted = stored(_with_labels(stored(voted, "weak-votes"), labels), "weak-labelled-votes")
     for task, n in TASKS.items():
         counted = sorted((r[0], r[1]) for r in voted.groupBy(task).count().collect())  # at most 3**n patterns
         if counted:
             accuracy, _, post = fit_accuracies([_digits(code, n) for code, _ in counted], [k for _, k in counted])
             fitted.accuracy[task], fitted.posterior[task] = accuracy, dict(zip((code for code, _ in counted), post.tolist()))
-    vector = F.udf(lambda at: Vectors.sparse(1 << bits, at, [max(len(at), 1) ** -0.5] * len(at)), VectorUDT())  # of the bounded sample only
-    sample = voted.where("slots IS NOT NULL").select(
-        vector("slots").alias("x"), *[_posterior(t, fitted.posterior.get(t, {})).alias(t) for t in TASKS])
-    sample = sample.coalesce(FIT_TASKS).cache()
-    for task in TASKS:
-        p = F.col(task)
-        both = sample.select("x", F.explode(F.array(
-            F.struct(F.lit(1.0).alias("y"), p.alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - p).alias("w")))).alias("l")).select("x", "l.*").where("w > 0.02")
-        seen = both.agg(F.min("y"), F.max("y")).first()
-        fitted.weights[task] = None
-        if seen[0] is not None and seen[0] != seen[1]:
-            model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", regParam=1e-4, maxIter=FIT_ROUNDS, standardization=False).fit(both)
-            fitted.weights[task] = (model.coefficients.toArray(), model.intercept)
-    sample.unpersist()
+    sample = voted.where("slots IS NOT NULL").dropDuplicates(["doc_id", "mark"]).select(
+        "doc_id", "mark", "slots", *[F.coalesce(_posterior(t, fitted.posterior.get(t, {})), F.lit(0.0)).alias(t) for t in TASKS])
+    fitted.weights = _fit_scorers(sample, bits)
     return fitted
 
 

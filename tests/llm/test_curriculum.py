@@ -91,3 +91,43 @@ def test_empty_table_and_order_of_the_hash(spark):
     df = spark.createDataFrame([(i, "w", "a", 0, "", 0, "", 0) for i in range(50)], SCHEMA)
     order = [r.doc_id for r in curriculum.mix(df).orderBy(F.element_at("_positions", 1)).collect()]
     assert order == sorted(range(50), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+
+
+def test_order_does_not_depend_on_the_partitions(spark):
+    """Null and equal ids, equal sizes, different texts: the same documents at the same positions."""
+    rows = [(None, f"text {i} of three", "a") for i in range(9)] + [(7, f"other {i} text", "a") for i in range(9)] + [(i, "w " * (i % 5), "b") for i in range(40)]
+    rows += [(None, "copied", "a")] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    runs = []
+    for parts in (1, 3, 7):
+        mixed = sorted(map(str, curriculum.mix(df.repartition(parts)).collect()))
+        runs.append((mixed, [tuple(r) for r in curriculum.training_order(df.repartition(parts)).collect()]))
+    assert runs[0] == runs[1] == runs[2]
+
+
+@pytest.mark.parametrize("limit", [10, 10**9])
+def test_hot_keys_are_divided(spark, monkeypatch, limit):
+    """A third of the rows share one key: their run is cut, and nothing changes."""
+    monkeypatch.setattr(curriculum, "HOT_RUN_ROWS", limit)
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.randrange(1, 9), rng.choice("ab")) for i in range(600)] + [(None, f"x{i} " * rng.randrange(1, 5), "a") for i in range(300)]
+    rows += [(17, f"y{i} z", "b") for i in range(100)] + [(None, "same", "a")] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    bins = []
+    monkeypatch.setattr(curriculum, "stored", lambda d, label, f=curriculum.stored: bins.append((label, f(d, label))) or bins[-1][1])
+    out = sorted(map(str, curriculum.mix(df).collect()))
+    finer = [d for label, d in bins if label == "mix-finer-runs"]
+    assert len(finer) == (limit == 10) and (not finer or finer[0].agg(F.max("n")).first()[0] <= 60)
+    monkeypatch.setattr(curriculum, "HOT_RUN_ROWS", 10**9)
+    assert out == sorted(map(str, curriculum.mix(df).collect()))
+
+
+def test_whole_rows_move_once_for_the_sums(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([(i, "a b c", "s") for i in range(50)], "doc_id long, text string, source string")
+        plan = curriculum.mix(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(moved) == 2 and "Window" in plan  # the rows, and the table of runs

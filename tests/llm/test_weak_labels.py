@@ -59,3 +59,58 @@ def test_few_patterns(counts):
 def test_size_of_the_fit():
     """The sample and the rounds of the fit are not lowered to fit a measuring tool's limits."""
     assert weak_labels.TRAINING_ROWS >= 20_000 and weak_labels.FIT_ROUNDS >= 30
+
+
+def test_sample_of_any_number_of_documents(spark):
+    """The share of 5e10 documents is 4e-7; a threshold with fewer bits would take none, or far too many."""
+    keys = spark.range(4_000_000).selectExpr("id AS doc_id", "id * 31 AS mark")
+    for documents in (4_000_000, 200_000, 10_000):
+        share = min(1.0, weak_labels.TRAINING_ROWS / documents)
+        n = keys.limit(min(documents, 4_000_000)).where(weak_labels.chosen_share(share, "doc_id", "mark")).count()
+        assert abs(n - min(documents, weak_labels.TRAINING_ROWS)) < 800
+    few = keys.where(weak_labels.chosen_share(20_000 / 5e10, "doc_id", "mark")).count()
+    assert few <= 12  # 1.6 on average
+    bound = int(20_000 / 5e10 * 2**64)
+    assert abs(bound / 2**64 * 5e10 - 20_000) < 1
+
+
+def test_a_hot_copy_is_in_the_sample_once(spark, monkeypatch):
+    rows = [(i, f"words of a text number {i} and some more") for i in range(300)] + [(None, "the same text in every third row")] * 150
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(50)], "doc_id long, quality int, toxic int")
+    seen = {}
+    fit = weak_labels._fit_scorers
+    monkeypatch.setattr(weak_labels, "_fit_scorers", lambda sample, bits: seen.setdefault("n", sample.count()) and fit(sample, bits))
+    weak_labels.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert seen["n"] == 301
+
+
+def test_scorer_against_the_library(spark):
+    """The same loss as Spark's logistic regression reaches, and a flat slope."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(1)
+    features, lists = 64, [np.unique(rng.integers(0, 64, rng.integers(0, 12))) for _ in range(500)]
+    truth = rng.standard_normal(features)
+    bad = np.array([1 / (1 + np.exp(-3 * truth[at].sum() - rng.normal())) for at in lists])
+    ends = np.cumsum([len(x) for x in lists])
+    weights, intercept = weak_labels.fit_scorer(np.concatenate(lists), ends, bad, features, rounds=200)
+
+    def loss(w, b):
+        up, down = np.where(bad > 0.02, bad, 0), np.where(1 - bad > 0.02, 1 - bad, 0)
+        z = np.array([w[at].sum() / max(len(at), 1) ** 0.5 for at in lists]) + b
+        return (up * np.logaddexp(0, -z) + down * np.logaddexp(0, z)).sum() / (up.sum() + down.sum()) + 1e-4 / 2 * (w @ w)
+
+    rows = [(Vectors.sparse(features, at.tolist(), [max(len(at), 1) ** -0.5] * len(at)), y, float(w))
+            for at, p in zip(lists, bad) for y, w in ((1.0, p), (0.0, 1 - p)) if w > 0.02]
+    df = spark.createDataFrame(rows, ["x", "y", "w"])
+    model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", regParam=1e-4, maxIter=200, standardization=False).fit(df)
+    assert abs(loss(weights, intercept) - loss(model.coefficients.toArray(), model.intercept)) < 1e-4
+    assert weak_labels.fit_scorer(np.concatenate(lists), ends, np.zeros(500), features) is None
+    assert weak_labels.fit_scorer(np.empty(0, dtype=np.int64), np.zeros(4, dtype=np.int64), np.array([1, 0, 0.5, 0.5]), features)[0].any() == False  # noqa: E712
+
+
+def test_scores_are_the_same_on_any_partitioning(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    a, b = (sorted(map(tuple, weak_labels.verdicts(docs.repartition(n), labels).collect())) for n in (1, 5))
+    assert a == b
