@@ -77,6 +77,112 @@ FAMILIES = (
     ("public-domain", "public domain", ("(?:released |placed )?(?:in|into|to) the public domain",), ()),
     ("all-rights-reserved", "rights reserved", ("all rights reserved",), ()),
 )
+# Sentences of license texts and of file headers as (label, keyword, pattern over words).
+TEXTS = (
+    ("mit", "permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "permission notice shall be included", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "the software is provided as is", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability"),
+    ("mit", "to deal in the software", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense"),
+    ("mit", "found in the license file", "use of this source code is governed by an mit style license that can be found in the license file"),
+    ("bsl-1", "permission is hereby granted", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("ofl", "permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of the font software"),
+    ("unicode", "permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of (?:the unicode )?data files and any associated documentation"),
+    ("postgresql", "permission to use copy modify", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("isc", "permission to use copy modify", "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"),
+    ("hpnd", "permission to use copy modify", "permission to use copy modify (?:and )?distribute (?:and sell )?this software and its documentation for any purpose is hereby granted without fee"),
+    ("ntp", "permission to use copy modify", "permission to use copy modify and distribute this software and its documentation for any purpose with or without fee is hereby granted"),
+    ("isc", "the software is provided as is", "the software is provided as is and the author disclaims all warranties with regard to this software"),
+    ("bsd", "redistribution and use in source", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd", "redistributions of source code", "redistributions of source code must retain the (?:above )?copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "redistributions in binary form", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd-3", "to endorse or promote products", "neither the names? of(?: [^ ]+){1,8} nor the names of (?:its|their|any) contributors may be used to endorse or promote products"),
+    ("bsd-3", "to endorse or promote products", "the names? of the (?:author|copyright holder)s? may not be used to endorse or promote products derived from this software"),
+    ("bsd-4", "all advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("bsd", "found in the license file", "use of this source code is governed by a bsd style license that can be found in the license file"),
+    ("bsd", "this software is provided by", "this software is provided by the (?:regents|authors?|copyright holders?)(?: and contributors)? as is and any express or implied warranties"),
+    ("apache-2", "except in compliance with the license", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("apache-2", "www apache org licenses", "(?:https? )?www apache org licenses license 2 0"),
+    ("apache-2", "software distributed under the license", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache-2", "contributor license agreements", "licensed to the apache software foundation asf under one or more contributor license agreements"),
+    ("apache-1-1", "apache software foundation", "this product includes software developed by the apache software foundation"),
+    ("gpl", "this program is free software", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl", "this program is distributed in the hope", "this program is distributed in the hope that it will be useful but without any warranty"),
+    ("gpl", "gnu general public license", "you should have received a copy of the gnu general public license along with this program"),
+    ("gpl-2", "of the license", "published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("gpl-3", "of the license", "published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("gpl-2", "licenses for most software", "the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl-3", "free copyleft license", "the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("lgpl", "this library is free software", "this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license"),
+    ("lgpl", "this library is distributed in the hope", "this library is distributed in the hope that it will be useful but without any warranty"),
+    ("lgpl", "general public license", "you should have received a copy of the gnu (?:lesser|library) general public license along with this library"),
+    ("agpl", "affero general public license", "you can redistribute it and or modify it under the terms of the gnu affero general public license"),
+    ("agpl", "affero general public license", "you should have received a copy of the gnu affero general public license along with this program"),
+    ("agpl-3", "cooperation with the community", "specifically designed to ensure cooperation with the community in the case of network server software"),
+    ("gpl-classpath", "as a special exception", "as a special exception the copyright holders of this library give you permission to link this library with independent modules"),
+    ("fdl", "permission is granted to copy", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("mpl-2", "this source code form is subject", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-1-1", "the contents of this file are subject", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("mpl", "a copy of the mpl was not", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("npl", "the contents of this file are subject", "the contents of this file are subject to the netscape public license"),
+    ("cddl", "the contents of this file are subject", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("cpal", "the contents of this file are subject", "the contents of this file are subject to the common public attribution license"),
+    ("spl", "the contents of this file are subject", "the contents of this file are subject to the sun public license"),
+    ("epl", "this program and the accompanying", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("epl", "accompanying program is provided", "the accompanying program is provided under the terms of this eclipse public license agreement"),
+    ("cpl", "accompanying program is provided", "the accompanying program is provided under the terms of this common public license agreement"),
+    ("ipl", "accompanying program is provided", "the accompanying program is provided under the terms of this ibm public license agreement"),
+    ("eupl", "european union public licence", "you may not use this work except in compliance with the licen[cs]e(?: [^ ]+){0,12} european union public licence"),
+    ("zlib", "this software is provided as is", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    ("zlib", "permission is granted to anyone", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it"),
+    ("zlib", "must not be misrepresented", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("zlib", "altered source versions", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("unlicense", "released into the public domain", "this is free and unencumbered software released into the public domain"),
+    ("unlicense", "anyone is free to copy", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("wtfpl", "everyone is permitted to copy", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed"),
+    ("gpl", "everyone is permitted to copy", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("cc0", "to the extent possible under law", "to the extent possible under law (?:the )?(?:author|person)s? (?:has|have|who associated cc0)(?: [^ ]+){0,8} waived all copyright"),
+    ("cc0", "publicdomain zero", "creativecommons org publicdomain zero 1 0"),
+    ("cc-by", "creativecommons org licenses by", "creativecommons org licenses by [1-4] [05]"),
+    ("cc-by-sa", "creativecommons org licenses by sa", "creativecommons org licenses by sa [1-4] [05]"),
+    ("cc-by-nd", "creativecommons org licenses by nd", "creativecommons org licenses by nd [1-4] [05]"),
+    ("cc-by-nc", "creativecommons org licenses by nc", "creativecommons org licenses by nc [1-4] [05]"),
+    ("cc-by-nc-sa", "creativecommons org licenses by nc sa", "creativecommons org licenses by nc sa [1-4] [05]"),
+    ("cc-by-nc-nd", "creativecommons org licenses by nc nd", "creativecommons org licenses by nc nd [1-4] [05]"),
+    ("cc-by", "this work is licensed under a", "this work is licensed under a creative commons attribution(?: [1-4] [05])?(?: international| unported| generic)? licen[cs]e"),
+    ("cc-by-sa", "this work is licensed under a", "this work is licensed under a creative commons attribution share ?alike(?: [1-4] [05])?(?: international| unported| generic)? licen[cs]e"),
+    ("cc-by-nc", "this work is licensed under a", "this work is licensed under a creative commons attribution non ?commercial(?: [1-4] [05])?(?: international| unported| generic)? licen[cs]e"),
+    ("artistic", "the intent of this document is", "the intent of this document is to state the conditions under which a package may be copied"),
+    ("artistic-2", "this license establishes the terms", "this license establishes the terms under which a given free software package may be copied modified distributed"),
+    ("perl", "under the same terms as perl", "(?:you can redistribute it and or modify it )?under the same terms as perl(?: itself)?"),
+    ("ruby", "under the same terms as ruby", "(?:you can redistribute it and or modify it )?under the same terms as ruby(?: itself)?"),
+    ("php-3", "subject to version 3", "this source file is subject to version 3 01? of the php license"),
+    ("zend", "subject to version 2", "this source file is subject to version 2 00 of the zend license"),
+    ("psf", "psf is making python", "psf is making python available to licensee on an as is basis"),
+    ("psf", "python software foundation", "this license agreement is between the python software foundation psf and the individual or organization"),
+    ("openssl", "openssl project", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("ijg", "independent jpeg group", "this software is based in part on the work of the independent jpeg group"),
+    ("curl", "permission to use copy modify", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice"),
+    ("x11", "x consortium", "except as contained in this notice the name of the x consortium shall not be used in advertising"),
+    ("json", "shall be used for good not evil", "the software shall be used for good not evil"),
+    ("beerware", "buy me a beer", "if we meet some day and you think this stuff is worth it you can buy me a beer"),
+    ("lppl", "latex project public license", "this work may be distributed and or modified under the conditions of the latex project public license"),
+    ("ms-pl", "if you use the software", "this license governs use of the accompanying software if you use the software you accept this license"),
+    ("sspl", "server side public license", "server side public license"),
+    ("busl", "business source license", "business source license"),
+    ("elastic-2", "elastic license", "elastic license (?:version )?(?:2 0|2|v2)"),
+    ("commons-clause", "by the licensor under the license", "the software is provided to you by the licensor under the license as defined below subject to the following condition"),
+    ("commons-clause", "commons clause", "commons clause license condition"),
+    ("polyform", "polyform", "polyform (?:noncommercial|small business|shield|strict|free trial|internal use) licen[cs]e"),
+    ("odc-by", "open data commons", "open data commons attribution licen[cs]e"),
+    ("pddl", "open data commons", "open data commons public domain dedication and licen[cs]e"),
+    ("rail", "responsible ai licen", "(?:open )?responsible ai licen[cs]es?"),
+    ("proprietary", "proprietary and confidential", "(?:this (?:file|software|document) is )?proprietary and confidential"),
+    ("proprietary", "unauthorized copying", "unauthorized copying of this file via any medium is strictly prohibited"),
+    ("proprietary", "permission of the copyright owner", "(?:reproduced|distributed)(?: [^ ]+){0,12} without the prior written permission of the copyright owner"),
+    ("public-domain", "dedicated to the public domain", "(?:has been |is hereby )?dedicated to the public domain"),
+    ("us-government", "work of the united states", "this (?:software|work) is a work of the united states government"),
+)
+TEXT_PRIORITY = 2
 #: fixed values: (words before a name, words after its version, added to the label, priority: smaller wins)
 FORMS = (
     ("spdx license identifier ", "", "", 1),
@@ -102,9 +208,14 @@ def _version_label(version: str) -> str:
 
 
 def rules() -> list[Rule]:
-    """All rules in order: the base phrases, then every family in every version and form (some 800)."""
-    bounded = lambda p: f"(?i)(?<![^ ]){p}(?![^ ])"
+    """All rules in order: the base phrases, the sentences of ``TEXTS``, then the names of ``FAMILIES``.
+
+    Phrases, sentences and names are written by hand, some 170 patterns. From the names come those with a version and in the
+    forms in which a license is cited, which are generated.
+    """
+    bounded = lambda p: f"(?i)(?<![^ ])(?:{p})(?![^ ])"
     out = [Rule(label, 0, f" {phrase} ", bounded(phrase), True) for label, phrase in BASE]
+    out += [Rule(label, TEXT_PRIORITY, keyword, bounded(pattern)) for label, keyword, pattern in TEXTS]
     for (label, keyword, names, versions), (before, after, suffix, priority) in product(FAMILIES, FORMS):
         for name in names:
             for version in versions:

@@ -56,3 +56,48 @@ def test_equals_plain_search(spark):
     got = [(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, round(r.score, 9)) for r in out]
     assert sorted(got, key=str) == sorted(((r[0], *brute(r[1], rules)) for r in rows), key=str)
     assert licenses.license_scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def sample(pattern):
+    """A text that the pattern matches: first alternatives, optional parts left out."""
+    group = re.compile(r"\(\?:([^()]*)\)(\?|\{(\d+),\d+\})?")
+    while group.search(pattern):
+        pattern = group.sub(lambda m: "" if m.group(2) == "?" else m.group(1).split("|")[0].replace("[^ ]+", "word") * int(m.group(3) or 1), pattern)
+    for old, new in (("[cs]", "c"), ("[1-4]", "4"), ("[05]", "0")):
+        pattern = pattern.replace(old, new)
+    return re.sub(r"[a-z0-9 ]\?", "", pattern.split("|")[0])
+
+
+def test_every_sentence_passes_its_gate():
+    assert len({(label, pattern) for label, _, pattern in licenses.TEXTS}) == len(licenses.TEXTS) >= 90
+    for label, keyword, pattern in licenses.TEXTS:
+        for part in pattern.split("|") if "(" not in pattern else [pattern]:
+            text = sample(part)
+            assert re.fullmatch(rf"(?i)(?:{pattern})", text), (pattern, text)
+            assert keyword in f" {text} ", (keyword, text)
+
+
+TEXTS = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+        files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+        merge, publish, distribute, sublicense, and/or sell copies of the Software""",
+    "bsd-3": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+        conditions are met: * Neither the name of the University nor the names of its contributors may be used to endorse or promote products""",
+    "apache-2": """// you may not use this file except in compliance with the License.
+        // You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0""",
+    "gpl-3": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
+        published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
+    "zlib": "# Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    "mpl-2": "/* This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. */",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "cc-by-sa": "https://creativecommons.org/licenses/by-sa/4.0/",
+    None: "A person obtaining a copy of the book may use it with the permission of the library; the software is provided by us.",
+}
+
+
+def test_license_texts_without_a_name(spark):
+    rows = list(enumerate(TEXTS.values()))
+    out = {r.doc_id: r.labels.split(",") for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, label in enumerate(TEXTS):
+        assert label in out[i] if label else out[i] == [""], (label, out[i])
