@@ -19,7 +19,8 @@ RUN = 256  # windows that travel as one string at most
 BUCKET_BYTES = 2 << 20  # of packed strings, on average
 HOT = 8  # times BUCKET_BYTES from which a bucket is split
 FLUSH_BYTES = 4 << 20  # of text whose strings a task holds at once
-NULL_ID = (1 << 63) - 1  # null ids come last
+NULL_ID = (1 << 63) - 1  # null ids come last, and after the greatest id by
+NULL_MARK = 1 << 33  # which their marks exceed all others
 
 RUNS = "bucket long, docs binary, marks binary, starts binary, packed binary"
 RANGES = "doc long, mark long, start long, stop long"
@@ -216,7 +217,8 @@ def _doc() -> Column:
 
 
 def _mark() -> Column:
-    return F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1).cast("long"))
+    mark = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(1 << 32).cast("long"))
+    return F.when(F.col("doc_id").cast("long").isNull(), mark + NULL_MARK).otherwise(mark)
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -251,6 +253,7 @@ def _strip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rows.append((len(words), len(words) - len(kept), b" ".join(kept).decode()))
         out = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
         out.insert(0, "doc", batch["doc"].to_numpy())
+        out.insert(1, "mark", batch["mark"].to_numpy())
         yield out
 
 
@@ -266,9 +269,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     ranges = stored(repeated_ranges(docs, window, gram), "substring-ranges")
     by_doc = ranges.groupBy("doc", "mark").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("ranges"))
     texts = docs.select(_doc().alias("doc"), _mark().alias("mark"), F.col("text").cast("binary").alias("text"))
-    out = texts.join(by_doc, ["doc", "mark"], "left").select("doc", "text", "ranges").mapInPandas(
-        _strip, "doc long, n_words long, n_removed long, kept string")
-    return out.select(F.nullif("doc", F.lit(NULL_ID)).alias("doc_id"), "n_words", "n_removed", "kept")
+    out = texts.join(by_doc, ["doc", "mark"], "left").select("doc", "mark", "text", "ranges").mapInPandas(
+        _strip, "doc long, mark long, n_words long, n_removed long, kept string")
+    return out.select(F.when(F.col("mark") < NULL_MARK, F.col("doc")).alias("doc_id"), "n_words", "n_removed", "kept")
 
 
 def digest(kept: Column) -> Column:

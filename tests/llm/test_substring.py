@@ -38,7 +38,8 @@ def test_shared_passages(spark):
             parts += [rng.choice(passages), [rng.choice(words) for _ in range(rng.randrange(0, 30))]]
         rows.append((i, rng.choice([" ", "\n", " \t "]).join(w for p in parts for w in p)))
     rows += [(90, rows[3][1]), (2, rows[2][1]), (None, rows[4][1]), (91, None), (92, ""), (93, " \n"), (94, "a " * 3000), (95, "a b " * 500),
-             (96, " ".join(words * 3)), (97, " ".join(words[:19]))]
+             (96, " ".join(words * 3)), (97, " ".join(words[:19])), (2**63 - 1, rows[6][1]), (None, rows[6][1]), (2**63 - 1, None), (None, None),
+             (-5, rows[7][1]), (-(2**63), rows[8][1])]
     check(spark, rows)
     check(spark, rows, window=5)
 
