@@ -69,3 +69,37 @@ def stream_window_avg(spark: SparkSession, d: str) -> DataFrame:
     )
     flat = reshape.with_window_keys(spark.read.parquet(out)).drop("date")
     return t.rounded(flat, ["value"])
+
+
+@query("stream_features", oracle=f"""
+WITH {t.wide_sql('minute')}
+SELECT sensor_id, engine_model, time_in_cycles, CAST(w AS VARCHAR) AS window_start, {t.rounded_sql(t.EVENT_METRICS)} FROM wide
+WHERE w + INTERVAL 1 MINUTE <= (SELECT max(date_trunc('millisecond', event_timestamp)) - {LATE} FROM readings)""")
+def stream_features(spark: SparkSession, d: str) -> DataFrame:
+    """Wide feature rows of the windows that the final watermark has passed."""
+    out, checkpoint = scratch_path(spark, "wide"), scratch_path(spark, "wide-progress")
+    wide = bronze.stream_features(bronze.stream_readings(spark, _landed(spark, d)), t.EVENT_METRICS)
+    (
+        wide.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        .outputMode("append").trigger(**ALL).start().awaitTermination()
+    )
+    return t.rounded(reshape.with_window_keys(spark.read.parquet(out)).drop("date"), t.EVENT_METRICS)
+
+
+@query("stream_payloads", oracle=f"""
+WITH {t.READINGS_SQL}
+SELECT 'readings' AS place, count(*) AS n FROM readings UNION ALL SELECT 'quarantine', (SELECT count(*) FROM documents WHERE text <> '')""")
+def stream_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """Two streams over the same lines: the readings, and the lines that are no JSON."""
+    landing = scratch_path(spark, "lines")
+    prose = t.table(spark, d, "documents").filter("text <> ''").select(F.regexp_replace("text", "[\\r\\n]+", " ").alias("value"))
+    t.readings(spark, d).select(F.to_json(F.struct("*")).alias("value")).unionByName(prose).write.text(landing)
+    counts = []
+    for rows, place in zip(bronze.stream_payloads(spark, landing), ("readings", "quarantine")):
+        out, checkpoint = scratch_path(spark, place), scratch_path(spark, f"{place}-progress")
+        (
+            rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+            .trigger(**ALL).start().awaitTermination()
+        )
+        counts.append(spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n")).select(F.lit(place).alias("place"), "n"))
+    return counts[0].unionByName(counts[1])

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import cleaning
+from millrace.session import remove_scratch, scratch_path
+from millrace.sinks.tables import overwrite
 from millrace.sources.files import CORRUPT, READING_SCHEMA, parse_payloads
 from millrace.streaming.ledger import BatchLedger, land, ledger_of
 
@@ -73,15 +75,18 @@ def start_bronze(
 
 
 def _land_batch(batch: DataFrame, marker: str, block: str, out: str, quarantine: str | None, replay: bool) -> dict[str | None, int]:
-    """Rows that landed, by day. Both writes and the count read the batch, so it is held for their time."""
-    batch = batch.persist()
+    """Rows that landed, by day. Both writes and the count read the batch, so it is computed once, into a staged copy."""
+    spark = batch.sparkSession
+    staged = scratch_path(spark, "batch")
     try:
+        overwrite(batch, staged)
+        batch = spark.read.schema(batch.schema).parquet(staged)
         if quarantine is not None:
             rejects = cleaning.stamped(batch.filter("sensor_id IS NULL OR sensor_id = ''"))
             land(rejects.withColumn("batches", F.lit(block)), quarantine, marker, replay, "batches")
         return land(to_bronze(batch), out, marker, replay)
     finally:
-        batch.unpersist()
+        remove_scratch(spark, staged)
 
 
 def newest_in_stream(readings: DataFrame, lateness: str = "10 minutes", newest: str = "processed_at") -> DataFrame:

@@ -25,7 +25,8 @@ class BatchLedger:
     """A small table with a row when a batch is begun, and one for each day it touched when it has landed.
 
     One writer at a time. Rows are only added, and equal rows count once, so folding many small files into one may be
-    cut off at any point.
+    cut off at any point. A reader that has listed the files before they are folded, once in ``FOLD_FILES`` entries, must
+    read again.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -57,7 +58,7 @@ class BatchLedger:
         self._fold()
 
     def _fold(self) -> None:
-        table = self.spark.read.parquet(self.path)
+        table = self.spark.read.schema(SCHEMA).parquet(self.path)
         files = table.inputFiles()
         if len(files) < FOLD_FILES:
             return
