@@ -267,3 +267,11 @@ def test_value_counts_ignore_unknown_columns(spark):
     rows = spark.createDataFrame([(1.0, "2"), (1.0, "x"), (None, None)], "a double, b string")
     assert sorted(map(tuple, drift.value_counts(rows, ["a", "b", "c"]).collect())) == [("a", 1.0, 2), ("b", 2.0, 1)]
     assert drift.value_counts(rows, ["c"]).count() == 0 and unpivot_readings(rows, [], []).count() == 0
+
+
+def test_wide_rows_are_split_earlier():
+    from millrace import config
+
+    assert config.hot_rows(1) == config.HOT_ROWS and config.hot_rows(0) == config.HOT_ROWS
+    assert 8 * 600 * config.hot_rows(600) <= config.HOT_BYTES < 8 * 600 * (config.hot_rows(600) + 1)
+    assert config.hot_rows(10**9) == 10_000
