@@ -12,7 +12,7 @@ from millrace.operators import cleaning
 from millrace.operators.rolling import feature_names
 from millrace.plans import partials as P
 from millrace.plans.silver import run_silver
-from millrace.session import scratch_path
+from millrace.session import scratch_path, settings
 from millrace.sources.files import READING_SCHEMA, read_table
 from millrace.streaming import bronze, rolling
 from millrace.streaming.ledger import BatchLedger, ledger_of
@@ -21,6 +21,8 @@ ALL = {"availableNow": True}
 M = t.EVENT_METRICS
 VERSIONED = T.StructType([*READING_SCHEMA.fields, T.StructField("processed_at", T.TimestampType())])
 STEPS = 5  # files that land one after the other
+#: a stream keeps as many state stores as it starts with, and these tables are small
+FEW = {"spark__sql__shuffle__partitions": "4"}
 FAR = "2200-01-01 00:00:00"
 
 
@@ -62,7 +64,8 @@ def stream_dedupe_newest(spark: SparkSession, d: str) -> DataFrame:
     def run() -> None:
         stream = bronze.stream_readings(spark, landing, VERSIONED, max_files=2)
         newest = bronze.newest_in_stream(stream, "60 days")  # a file holds a sixth of a month, and day 31 lands with day 1
-        newest.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress).outputMode("append").trigger(**ALL).start().awaitTermination()
+        with settings(spark, **FEW):
+            newest.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress).outputMode("append").trigger(**ALL).start().awaitTermination()
 
     for steps in (range(2), range(2, STEPS)):
         _land_in_steps(arriving, F.col("_arrives"), landing, steps)
@@ -85,7 +88,8 @@ def stream_rolling_features(spark: SparkSession, d: str) -> DataFrame:
     def run() -> None:
         stream = spark.readStream.schema(wide.schema).option("maxFilesPerTrigger", 2).parquet(landing)
         features = rolling.rolling_in_stream(stream, "sensor_id", ["time_in_cycles", "window_start"], M, "at", "60 days", t.WINDOWS)
-        features.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress).outputMode("append").trigger(**ALL).start().awaitTermination()
+        with settings(spark, **FEW):
+            features.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress).outputMode("append").trigger(**ALL).start().awaitTermination()
 
     for steps in (range(2), range(2, STEPS)):
         _land_in_steps(wide, late, landing, steps, "parquet")
