@@ -50,7 +50,7 @@ def test_training_beats_the_mean(trained):
     assert 0.7 < sample.count() / total < 0.9 and measures["n"] + sample.count() == total
 
 
-def test_default_parameters():
+def test_default_parameters(spark):
     trees = ml.build_pipeline(METRICS).getStages()[-1]
     assert (trees.getMaxIter(), trees.getMaxDepth(), trees.getStepSize()) == (500, 6, 0.03)
     assert (trees.getSubsamplingRate(), trees.getFeatureSubsetStrategy(), trees.getSeed()) == (0.8, "0.6", 42)
@@ -161,7 +161,7 @@ def test_fact_keeps_missing_models_and_equals_the_joined_form(spark):
     assert "Join" not in plain._jdf.queryExecution().executedPlan().toString()
 
 
-def test_training_queries_fit_the_full_size():
+def test_training_queries_fit_the_full_size(spark):
     from millrace.catalog import learning
 
     assert learning.PARAMS == config.BoostingParams()
