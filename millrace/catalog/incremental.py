@@ -20,17 +20,18 @@ from millrace.streaming.ledger import BatchLedger, ledger_of
 ALL = {"availableNow": True}
 M = t.EVENT_METRICS
 VERSIONED = T.StructType([*READING_SCHEMA.fields, T.StructField("processed_at", T.TimestampType())])
-STEPS = 5  # files that land one after the other
+STEPS = 5  # loads that land one after the other
+FILE_ROWS = 200_000  # rows of a landed file
 #: a stream keeps as many state stores as it starts with, and these tables are small
 FEW = {"spark__sql__shuffle__partitions": "4"}
 FAR = "2200-01-01 00:00:00"
 
 
-def _land_in_steps(rows: DataFrame, at: Column, path: str, steps: range, form: str = "json") -> None:
-    """Rows by time of arrival, a file for each step, so that a stream sees them in that order."""
+def _land_in_steps(rows: DataFrame, at: Column, path: str, steps: range, form: str = "json", files: int = 1) -> None:
+    """Rows by time of arrival, ``files`` files for each step, so that a stream sees them in that order."""
     stepped = rows.withColumn("_step", F.least(F.lit(STEPS - 1), F.greatest(F.lit(0), (F.dayofmonth(at) - 1) * STEPS / 31).cast("int")))
     for i in steps:
-        stepped.filter(F.col("_step") == i).drop("_step").coalesce(1).write.mode("append").format(form).save(path)
+        stepped.filter(F.col("_step") == i).drop("_step").transform(lambda x: x.repartition(files) if files > 1 else x.coalesce(1)).write.mode("append").format(form).save(path)
 
 
 def _heartbeat(rows: DataFrame, path: str, form: str = "json", **values: Column) -> None:
@@ -81,18 +82,21 @@ WITH {t.wide_sql()}
 SELECT sensor_id, time_in_cycles, CAST(w AS VARCHAR) AS window_start, {t.rolling_sql(M, 'sensor_id', 'time_in_cycles, w')} FROM wide""")
 def stream_rolling_features(spark: SparkSession, d: str) -> DataFrame:
     """Feature rows out of order over several batches and a restart: the same features as in a batch."""
-    landing, out, progress = (scratch_path(spark, x) for x in ("wide", "features", "features-progress"))
-    wide = t.wide(spark, d).withColumn("at", F.col("window_start").cast("timestamp"))
+    stored, landing, out, progress = (scratch_path(spark, x) for x in ("wide-rows", "wide", "features", "features-progress"))
+    t.wide(spark, d).withColumn("at", F.col("window_start").cast("timestamp")).write.parquet(stored)
+    wide = spark.read.parquet(stored)
     late = F.col("at") + F.make_dt_interval(hours=F.pmod(F.xxhash64("sensor_id", "window_start"), F.lit(40)).cast("int"))
+    files = 1 + wide.count() // (STEPS * FILE_ROWS)
 
     def run() -> None:
-        stream = spark.readStream.schema(wide.schema).option("maxFilesPerTrigger", 2).parquet(landing)
+        stream = spark.readStream.schema(wide.schema).option("maxFilesPerTrigger", 2 * files).parquet(landing)
         features = rolling.rolling_in_stream(stream, "sensor_id", ["time_in_cycles", "window_start"], M, "at", "60 days", t.WINDOWS)
-        with settings(spark, **FEW):
+        stores = max(4, spark.sparkContext.defaultParallelism)
+        with settings(spark, spark__sql__shuffle__partitions=str(stores)):
             features.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress).outputMode("append").trigger(**ALL).start().awaitTermination()
 
     for steps in (range(2), range(2, STEPS)):
-        _land_in_steps(wide, late, landing, steps, "parquet")
+        _land_in_steps(wide, late, landing, steps, "parquet", files)
         if steps.start == 0:
             run()
     _heartbeat(wide, landing, "parquet", at=F.lit(FAR))

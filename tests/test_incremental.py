@@ -189,6 +189,32 @@ def test_streamed_features_equal_batch_features(spark, path):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_frames_stay_in_their_series():
+    values = np.array([[1.0], [2.0], [4.0], [10.0], [30.0]])
+    mean, deviation = rolling.frame_statistics(values, 3, 3, np.array([0, 1, 2, 0, 1]))
+    assert np.allclose(mean[:, 0], [7 / 3, 10.0, 20.0]) and np.allclose(deviation[:, 0], [np.std([1, 2, 4], ddof=1), 0.0, np.std([10, 30], ddof=1)])
+
+
+def test_streamed_units_share_states(spark, path):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(f"u{u}", c, START + timedelta(minutes=c), float(rng.normal()), None if c % 3 else float(u)) for u in range(20) for c in range(18)], WIDE)
+    held = []
+    for low, high in ((0, 9), (9, 18)):
+        df.filter(F.col("cycle").between(low, high - 1)).coalesce(1).write.mode("append").parquet(path("in"))
+        if high == 18:
+            spark.createDataFrame([(None, None, datetime(2024, 3, 1), None, None)], WIDE).write.mode("append").parquet(path("in"))
+        stream = spark.readStream.schema(WIDE).parquet(path("in"))
+        features = rolling.rolling_in_stream(stream, "sensor_id", ["cycle"], ["a", "b"], "at", "2 minutes", buckets=3)
+        query = (features.writeStream.format("parquet").option("path", path("out")).option("checkpointLocation", path("cp"))
+                 .outputMode("append").trigger(**ALL).start())
+        query.awaitTermination()
+        held += [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert 0 < max(held) <= 3  # not one for each of the 20 units
+    rounded = lambda x: x.select("sensor_id", "cycle", *[F.round(c, 9).alias(c) for c in feature_names(["a", "b"])])
+    got, want = rounded(spark.read.parquet(path("out"))), rounded(rolling_features(df, "sensor_id", ["cycle"], ["a", "b"]))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 # --- Silver ---------------------------------------------------------------------------------
 
 
