@@ -31,6 +31,7 @@ COMMON_WORDS = {
     "fr": "de la le et les des en un du une est pour que dans par au sur pas qui il avec".split(),
     "es": "de la que el en y a los del se las por un para con no una su al es lo".split(),
 }
+LONGEST_COMMON = max(len(w) for words in COMMON_WORDS.values() for w in words)
 #: resolution of the typical shares
 SHARE_BINS = 2000
 CHAR_CLASSES = ("lower", "upper", "digit", "space", "symbol", "other_ascii", "beyond_ascii")
@@ -58,7 +59,9 @@ def _with_statistics(rows: DataFrame) -> DataFrame:
     while width < REPEAT_WINDOW:
         run = F.col(f"_run{width}")
         later = F.slice(run, width + 1, F.greatest(F.size(run), F.lit(1)))
-        rows = rows.withColumn(f"_run{2 * width}", F.zip_with(run, later, lambda x, y: F.xxhash64(x, y)))
+        longer = F.zip_with(run, later, lambda x, y: F.xxhash64(x, y))
+        # a window that is found twice starts with half a window that is
+        rows = rows.withColumn(f"_run{2 * width}", longer if 2 * width < REPEAT_WINDOW else F.when(F.size(F.array_distinct(run)) < F.size(run), longer))
         width *= 2
     rows = rows.withColumns({
         "_windows": F.when(F.size("_words") >= REPEAT_WINDOW, F.slice(f"_run{REPEAT_WINDOW}", 1, F.size("_words") - (REPEAT_WINDOW - 1))),
@@ -81,8 +84,8 @@ def _with_statistics(rows: DataFrame) -> DataFrame:
         "n_repeat_words": covered.cast("long"),
         "_upper": _length_of(text, "[^A-Z]+"), "_lower": _length_of(text, "[^a-z]+"), "_digit": _length_of(text, "[^0-9]+"),
         "_beyond": _length_of(text, r"[\x00-\x7F]+"), "_n": n_chars,
-        # every word between spaces of its own, so that a word and its spaces can be counted by length
-        "_plain": F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}]+", "  "), F.lit(" ")),
+        # every word between spaces of its own, so that a word and its spaces can be counted by length; words too long for a list go
+        "_plain": F.concat(F.lit(" "), F.regexp_replace(F.lower(text), rf"[^\p{{L}}]++(?:\p{{L}}{{{LONGEST_COMMON + 1},}}+[^\p{{L}}]*+)*+", "  "), F.lit(" ")),
         "_list": lists,
     })
     plain = F.col("_plain")

@@ -139,3 +139,23 @@ def test_tables_and_word_salad_go_and_clean_texts_stay(spark):
     kept = {r.doc_id for r in out if r.kept}
     clean = {r[0] for r in rows if r[4]}
     assert len(clean - kept) <= 1 and len(kept - clean) <= 2
+
+
+def test_plain_text_keeps_only_words_that_may_be_common(spark):
+    from millrace.llm import divergence
+
+    text = "Of the elephants, the nicht-important the; extraordinary THE of. unbelievable, wonderful of"
+    rows = spark.createDataFrame([(1, text, "en", None)], "doc_id long, text string, lang string, source string")
+    found = divergence._with_statistics(rows).select("_plain", "common").first()
+    assert found["_plain"].split() == "of the the nicht the the of of".split()
+    assert found["common"][:2] == [4, 3] and sum(found["common"]) == 12
+
+
+def test_long_runs_only_where_shorter_ones_repeat(spark):
+    from millrace.llm import divergence
+
+    eight = "a b c d e f g h"
+    texts = [" ".join(f"w{i}" for i in range(30)), f"{eight} x {eight} y", f"a b c d x {eight} y"]
+    rows = spark.createDataFrame([(i, t, "en", None) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    found = divergence._with_statistics(rows).orderBy("doc_id").select(f"_run{divergence.REPEAT_WINDOW}", "n_repeat_words").collect()
+    assert found[0][0] is None and [r[1] for r in found] == [0, 16, 0]
