@@ -12,6 +12,7 @@ from millrace.session import shared_dir
 
 SEGMENT = "_segment"
 _SAMPLES_PER_SEGMENT = 32
+_FAN = 64  # edges a row is joined with at a time
 CUT = "_cut"  # whether the row's series has edges
 
 
@@ -67,13 +68,30 @@ def with_segment(df: DataFrame, key: str, order: Sequence[str], edges: DataFrame
         return df.withColumns({SEGMENT: F.lit(0), CUT: F.lit(False)})
     at = F.struct(*[F.col(c) for c in order])
     longest = edges.agg(F.max(F.size("_edges"))).first()[0] or 1
-    steps = [1 << b for b in range(longest.bit_length() - 1, -1, -1)]  # halving search in the longest list
+    halves = [1 << b for b in range((_FAN - 1).bit_length() - 1, -1, -1)]  # halving search in a list of less than _FAN
 
     def search(below: Column, step: Column) -> Column:
-        return F.when(F.get(F.col("_edges"), below + step - 1) <= at, below + step).otherwise(below)
+        return F.when(F.get(F.col("_list"), below + step - 1) <= at, below + step).otherwise(below)
 
-    found = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), search)
-    named = edges.withColumnRenamed(key, "_key")
-    joined = df.join(named, df[key].eqNullSafe(named["_key"]), "left").drop("_key")
-    cut = F.col("_edges").isNotNull()
-    return joined.withColumns({SEGMENT: F.when(cut, found).otherwise(0), CUT: cut}).drop("_edges")
+    # every edge in steps of _FAN ** n first, then those between the two steps found, so that no row carries all of a key's edges
+    width = 1
+    while width * _FAN <= longest:
+        width *= _FAN
+    placed = df.withColumns({SEGMENT: F.lit(0), CUT: F.lit(False)})
+    while width:
+        lists = _lists(edges, key, width, longest)
+        joined = placed.join(lists, placed[key].eqNullSafe(lists["_key"]) & (placed[SEGMENT] == lists["_base"]), "left")
+        found = F.aggregate(F.array(*[F.lit(h) for h in halves]), F.lit(0), search) * width
+        cut = F.col("_key_known").isNotNull()
+        placed = joined.withColumns({SEGMENT: F.when(cut, F.col(SEGMENT) + found).otherwise(F.col(SEGMENT)), CUT: F.col(CUT) | cut})
+        placed = placed.drop("_key", "_base", "_list", "_key_known")
+        width //= _FAN
+    return placed
+
+
+def _lists(edges: DataFrame, key: str, width: int, longest: int) -> DataFrame:
+    """(_key, _base, _list): after the first ``_base`` edges of a key, each ``width``-th of the next ``width * _FAN - 1``."""
+    bases = edges.withColumn("_base", F.explode(F.sequence(F.lit(0), F.size("_edges"), F.lit(width * _FAN)))) if width * _FAN <= longest else (
+        edges.withColumn("_base", F.lit(0)))
+    ends = F.slice("_edges", F.col("_base") + 1, F.lit(width * _FAN - 1))
+    return bases.select(F.col(key).alias("_key"), "_base", F.lit(True).alias("_key_known"), F.filter(ends, lambda _, i: (i + 1) % width == 0).alias("_list"))

@@ -274,3 +274,24 @@ def test_latest_run_skips_monitoring(spark, path):
     log_run(spark, path("runs"), config.DRIFT_RUN_NAME, start_time=datetime(2024, 1, 3))
     runs = spark.read.schema(RUN_SCHEMA).parquet(path("runs"))
     assert runs.count() == 3 and latest_run(runs).first()["model_path"] == "/m2"
+
+
+def test_many_segments_are_found_in_short_lists(spark):
+    from bisect import bisect_right
+
+    from millrace.operators import sizing
+
+    rows = [("a", i * 7 % 9001) for i in range(9001)] + [(None, i) for i in range(600)] + [("b", 1), ("b", None), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    edges = sizing.segment_edges(df, "k", ["v"], 2)
+    lists = {r["k"]: [x["v"] for x in r["_edges"]] for r in edges.collect()}
+    longest = max(map(len, lists.values()))
+    assert longest > 4096 and "b" not in lists
+    sizes = [sizing._lists(edges, "k", w, longest).selectExpr("max(size(_list))").first()[0] for w in (1, 64, 4096)]
+    assert max(sizes) == 63
+    found = sizing.with_segment(df, "k", ["v"], edges).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        at, own = -1 if r["v"] is None else r["v"], lists.get(r["k"])
+        want = bisect_right([-1 if x is None else x for x in own], at) if own else 0
+        assert (r["_segment"], r["_cut"]) == (want, own is not None)
