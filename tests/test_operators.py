@@ -295,3 +295,18 @@ def test_many_segments_are_found_in_short_lists(spark):
         at, own = -1 if r["v"] is None else r["v"], lists.get(r["k"])
         want = bisect_right([-1 if x is None else x for x in own], at) if own else 0
         assert (r["_segment"], r["_cut"]) == (want, own is not None)
+
+
+def test_trees_fitted_on_vectors_are_the_pipelines(spark):
+    from millrace import config
+    from millrace.ml import model as ml
+
+    wide = spark.range(300).selectExpr(
+        "cast(id % 7 as int) AS unit_number", "cast(id div 7 as int) AS time_in_cycles", "concat('m', id % 3) AS engine_model",
+        "IF(id % 5 = 0, NULL, sin(id)) AS a", "cast(id % 11 as double) AS b", "cast(id % 43 as double) AS RUL")
+    rows = ml.feature_rows(wide, ["a", "b"]).coalesce(1).checkpoint()
+    pipeline = ml.build_pipeline(["a", "b"], params=config.BoostingParams(trees=3))
+    whole, parts = pipeline.fit(rows), ml.fit_on_vectors(pipeline, rows)
+    # after the model's own name
+    assert whole.stages[-1].toDebugString.split("\n")[1:] == parts.stages[-1].toDebugString.split("\n")[1:]
+    assert len(parts.stages) == len(whole.stages) and "in {" in parts.stages[-1].toDebugString
