@@ -11,7 +11,7 @@ from millrace import config
 from millrace.functions import columns as C
 from millrace.operators.reshape import unpivot_readings
 from millrace.operators.sizing import CUT, SEGMENT, segment_edges, with_segment
-from millrace.session import shared_dir
+from millrace.session import scratch_path
 
 
 def value_counts(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -19,9 +19,12 @@ def value_counts(df: DataFrame, features: Sequence[str], by: Sequence[str] = ())
 
     Counts of disjoint rows add up, so they can be stored per day and merged for any range of days.
     """
+    return _values(df, features, by).groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _values(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     known = [f for f in features if f in df.columns]
-    values = unpivot_readings(df, list(by), known).filter(~F.isnan("value"))
-    return values.groupBy(*by, F.col("metric").alias("feature"), "value").agg(F.count(F.lit(1)).alias("n"))
+    return unpivot_readings(df, list(by), known).filter(~F.isnan("value")).withColumnRenamed("metric", "feature")
 
 
 def ks_two_sample(
@@ -31,7 +34,10 @@ def ks_two_sample(
 
     Null and NaN values are left out, and so is a feature without values on one side.
     """
-    return ks_of_counts(value_counts(reference, features), value_counts(current, features), hot_rows)
+    # every value counts as one, so both sides are counted by one aggregation
+    one = F.lit(1).cast("long").alias("n")
+    sides = (_values(side, features).select("feature", "value", one) for side in (reference, current))
+    return ks_of_counts(*sides, hot_rows)
 
 
 def ks_of_counts(reference: DataFrame, current: DataFrame, hot_rows: int = config.HOT_ROWS) -> DataFrame:
@@ -41,11 +47,15 @@ def ks_of_counts(reference: DataFrame, current: DataFrame, hot_rows: int = confi
     from that. The two distribution functions are running sums over the sorted values; when a feature has more than
     ``hot_rows`` distinct values, it is sorted in consecutive ranges, each starting from the totals of the ranges before.
     """
-    shared_dir(reference.sparkSession)
+    spark = reference.sparkSession
     none = F.lit(0).cast("long")
     sides = reference.select("feature", "value", F.col("n").alias("c_ref"), none.alias("c_cur")).unionByName(
         current.select("feature", "value", none.alias("c_ref"), F.col("n").alias("c_cur")))
-    counts = sides.groupBy("feature", "value").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur")).checkpoint()
+    merged = sides.groupBy("feature", "value").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
+    # files by column take a tenth of a checkpoint's rows
+    path = scratch_path(spark, "value-counts")
+    merged.write.parquet(path)
+    counts = spark.read.schema(merged.schema).parquet(path)
     sizes = counts.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur")).filter("n_ref > 0 AND n_cur > 0")
     edges = segment_edges(counts, "feature", ["value"], hot_rows)
     below = _below(counts, ["feature"], "value") if edges is None else _below_by_segment(

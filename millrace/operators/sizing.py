@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace import config
+from millrace.operators.indexing import number_rows
 from millrace.session import shared_dir
 
 SEGMENT = "_segment"
 _SAMPLES_PER_SEGMENT = 32
 _FAN = 64  # edges a row is joined with at a time
+_SENT_EDGES = 200_000  # so many edges of all keys are small enough to go to every task
 CUT = "_cut"  # whether the row's series has edges
 
 
@@ -36,26 +38,28 @@ def segment_edges(
         .withColumn("_step", F.greatest(F.lit(1), F.expr(f"_n div (_k * {_SAMPLES_PER_SEGMENT})")))
         .checkpoint()
     )
-    if hot.isEmpty():
+    n_hot = hot.count()
+    if not n_hot:
         return None
     position = F.struct(*[F.col(c) for c in order])
     rows = df.select(key, *order)
     hot = hot.withColumnRenamed(key, "_hot")
+    hot = F.broadcast(hot) if n_hot <= _SENT_EDGES else hot
     sampled = (
         rows.join(hot, rows[key].eqNullSafe(hot["_hot"]))
         .filter(F.pmod(F.xxhash64(key, *order), F.col("_step")) == 0)
         .select(key, "_k", position.alias("_at"))
         .distinct()
     )
-    sorted_sample = sampled.groupBy(key).agg(
-        F.max("_k").alias("_k"), F.sort_array(F.collect_list("_at")).alias("_s")
-    )
-    return sorted_sample.select(
-        key,
-        F.array_distinct(
-            F.expr("transform(sequence(1, _k - 1), i -> _s[cast(i * size(_s) div _k as int)])")
-        ).alias("_edges"),
-    ).checkpoint()
+    # the sample is numbered over all tasks, as a key's part of it may be too long for one list
+    numbered = number_rows(sampled.withColumnRenamed(key, "_hot"), ["_hot", "_at"], "_row")
+    ranges = numbered.groupBy(F.col("_hot").alias(key)).agg(
+        F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_size"), F.max("_k").cast("long").alias("_parts"))
+    placed = numbered.join(ranges, F.col("_hot").eqNullSafe(F.col(key))).withColumn("_p", F.col("_row") - F.col("_first"))
+    # the p-th tuple is an edge if i * size div parts is p for an i from 1 to parts - 1; the least one that reaches p is tried
+    least = F.greatest(F.lit(1).cast("long"), F.expr("(_p * _parts + _size - 1) div _size"))
+    chosen = placed.filter((least < F.col("_parts")) & (least * F.col("_size") < (F.col("_p") + 1) * F.col("_parts")))
+    return chosen.groupBy(key).agg(F.sort_array(F.collect_list("_at")).alias("_edges")).checkpoint()
 
 
 def with_segment(df: DataFrame, key: str, order: Sequence[str], edges: DataFrame | None) -> DataFrame:
@@ -67,12 +71,8 @@ def with_segment(df: DataFrame, key: str, order: Sequence[str], edges: DataFrame
     if edges is None:
         return df.withColumns({SEGMENT: F.lit(0), CUT: F.lit(False)})
     at = F.struct(*[F.col(c) for c in order])
-    longest = edges.agg(F.max(F.size("_edges"))).first()[0] or 1
-    halves = [1 << b for b in range((_FAN - 1).bit_length() - 1, -1, -1)]  # halving search in a list of less than _FAN
-
-    def search(below: Column, step: Column) -> Column:
-        return F.when(F.get(F.col("_list"), below + step - 1) <= at, below + step).otherwise(below)
-
+    longest, total = edges.agg(F.max(F.size("_edges")), F.sum(F.size("_edges").cast("long"))).first()
+    longest, total = longest or 1, total or 0
     # every edge in steps of _FAN ** n first, then those between the two steps found, so that no row carries all of a key's edges
     width = 1
     while width * _FAN <= longest:
@@ -80,15 +80,30 @@ def with_segment(df: DataFrame, key: str, order: Sequence[str], edges: DataFrame
     placed = df.withColumns({SEGMENT: F.lit(0), CUT: F.lit(False)})
     while width:
         lists = _lists(edges, key, width, longest)
+        lists = F.broadcast(lists) if total <= _SENT_EDGES else lists
         joined = placed.join(lists, placed[key].eqNullSafe(lists["_key"]) & (placed[SEGMENT] == lists["_base"]), "left")
-        found = F.aggregate(F.array(*[F.lit(h) for h in halves]), F.lit(0), search) * width
+        # the list's eighths first; the two steps are columns, as one expression would repeat the first
+        joined = joined.withColumn("_eighth", _reached(at, F.lit(0), _FAN // 8))
         cut = F.col("_key_known").isNotNull()
-        placed = joined.withColumns({SEGMENT: F.when(cut, F.col(SEGMENT) + found).otherwise(F.col(SEGMENT)), CUT: F.col(CUT) | cut})
-        placed = placed.drop("_key", "_base", "_list", "_key_known")
+        found = F.col("_eighth") + _reached(at, F.col("_eighth"), 1)
+        placed = joined.withColumns({SEGMENT: F.when(cut, F.col(SEGMENT) + found * width).otherwise(F.col(SEGMENT)), CUT: F.col(CUT) | cut})
+        placed = placed.drop("_key", "_base", "_list", "_key_known", "_eighth")
         width //= _FAN
     return placed
 
 
+def _reached(at: Column, start: Column, step: int, low: int = 0, high: int = 8) -> Column:
+    """The greatest of 0, ``step``, ... 7 ``step`` whose entry of ``_list``, counted from ``start``, lies at or below ``at``.
+
+    A tree of three comparisons a row: unlike a loop over an array it becomes generated code.
+    """
+    if high - low == 1:
+        return F.lit(low * step)
+    middle = (low + high) // 2
+    above = F.get(F.col("_list"), start + F.lit(middle * step - 1)) <= at
+    return F.when(above, _reached(at, start, step, middle, high)).otherwise(_reached(at, start, step, low, middle))
+
+
 def _lists(edges: DataFrame, key: str, width: int, longest: int) -> DataFrame:
     """(_key, _base, _list): after the first ``_base`` edges of a key, each ``width``-th of the next ``width * _FAN - 1``."""
     bases = edges.withColumn("_base", F.explode(F.sequence(F.lit(0), F.size("_edges"), F.lit(width * _FAN)))) if width * _FAN <= longest else (

@@ -297,6 +297,23 @@ def test_many_segments_are_found_in_short_lists(spark):
         assert (r["_segment"], r["_cut"]) == (want, own is not None)
 
 
+def test_edges_of_a_long_sample(spark):
+    """Places in the sample times segments exceed 32 bits; the sample is every value here."""
+    from millrace.operators import sizing
+
+    n = 50_000
+    df = spark.range(n).selectExpr("IF(id < 49000, 'a', NULL) AS k", "cast(id * 7919 % 50021 as double) AS v").unionAll(
+        spark.sql("SELECT 'b', 1D UNION ALL SELECT 'c', CAST(NULL AS DOUBLE)"))
+    values = {"a": sorted(i * 7919 % 50021 for i in range(49000)), None: sorted(i * 7919 % 50021 for i in range(49000, n))}
+    for most in (1, 3):
+        got = {r["k"]: [x["v"] for x in r["_edges"]] for r in sizing.segment_edges(df, "k", ["v"], most).collect()}
+        want = {}
+        for k, v in values.items():
+            parts = -(-len(v) // most)
+            want[k] = [v[p] for p in sorted({i * len(v) // parts for i in range(1, parts)})]
+        assert got == want
+
+
 def test_trees_fitted_on_vectors_are_the_pipelines(spark):
     from millrace import config
     from millrace.ml import model as ml
