@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import connected_components
-from millrace.llm.staging import free_name, stored
+from millrace.llm.staging import free_name, never_sent, stored
 from millrace.llm.words import slices
 
 SHINGLE = 4
@@ -99,12 +99,12 @@ def _near(max_bits: int) -> Column:
 
 
 def _edges(left: DataFrame, right: DataFrame, max_bits: int, different: bool) -> DataFrame:
-    """Links between rows of a cell; ``different``: only between labels that differ."""
+    """Links between rows of a cell; ``different``: only between labels that differ. See ``never_sent``."""
     on = (F.col("l.cell") == F.col("r.cell")) & _near(max_bits)
     if different:
         on &= F.col("l.label") != F.col("r.label")
     a, b = F.col("l.fp"), F.col("r.fp")
-    return left.alias("l").join(right.alias("r"), on).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    return never_sent(left.alias("l")).join(never_sent(right.alias("r")), on).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
 
 
 def _labelled(reps: DataFrame, edges: DataFrame) -> DataFrame:
@@ -142,7 +142,7 @@ def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS, hub_rounds:
     mixed = stored(
         seen.groupBy("cell").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.count("*").alias("labels"))
         .where("labels > 1").select("cell", "most"), "simhash-cells")
-    home, probes = (x.join(mixed, "cell") for x in (home, probes))
+    home, probes = (never_sent(x).join(mixed, "cell") for x in (home, probes))
     rest = _edges(home.where("label <> most"), probes, max_bits, different=True).unionAll(
         _edges(home.where("label = most"), probes.where("label <> most"), max_bits, different=True))
     return _labelled(reps, edges.unionAll(rest)).select("fp", F.col("label").alias("root"))

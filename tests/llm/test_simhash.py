@@ -84,6 +84,28 @@ def test_large_cluster_of_fingerprints(spark, spread):
     assert len(out) == len(values) and len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
 
 
+def exploded_and_sent(monkeypatch, work):
+    """Plans that ``work`` writes, as they are before any row is counted, in which a table that comes from an explode is sent to all tasks."""
+    plans = []
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return stored(df, label)
+
+    stored = simhash.stored
+    monkeypatch.setattr(simhash, "stored", seen)
+    work()
+    exploded = [p for p in plans if "Generate explode" in p]
+    assert exploded
+    return [p for p in exploded if "BroadcastHashJoin" in p or "BroadcastNestedLoopJoin" in p]
+
+
+def test_grid_cells_are_not_sent_to_all_tasks(spark, monkeypatch):
+    """A small table's cells are many times its rows, and are taken for as few."""
+    fps = spark.createDataFrame([(i * 0x9E3779B97F4A7C15 % (1 << 63),) for i in range(300)] + [(1,), (3,), (7,)], "fp long")
+    assert not exploded_and_sent(monkeypatch, lambda: simhash.fingerprint_components(fps))
+
+
 def test_manhattan_distance_is_a_lower_bound(spark):
     rng = random.Random(1)
     pairs = [(rng.getrandbits(64), rng.getrandbits(64)) for _ in range(300)]
