@@ -123,6 +123,11 @@ def test_components_of_paths_stars_and_loops(spark):
     assert {out[i] for i in range(100, 161)} == {100} and {out[i] for i in range(1, 40)} == {1} and out[200] == out[201] == 200
 
 
+def test_keep_one_sends_no_grid_cells(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i * j % 97}" for j in range(1, 30)), "x", "", 0, 0) for i in range(40)], SCHEMA)
+    assert not exploded_and_sent(monkeypatch, lambda: simhash.keep_one(docs).collect())
+
+
 def test_keep_one_and_empty_table(spark):
     rows = [(3, "a b c d e f", "x", "", 0, 0), (1, "a b c d e f", "y", "", 0, 0), (None, "a b c d e f", "z", "", 0, 0), (9, "other words stand here now", "x", "", 0, 0),
             (9, "other words stand here now", "x", "", 0, 0)]
